@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, simhash
+from . import chat, decontam, licenses, packing, quality_knn, quality_rules, secrets, simhash, substring, toxicity
 from .common import table
 
 
@@ -39,9 +39,45 @@ FROM e GROUP BY conv_id
 """
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.public_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_chat_format, op6_packing)}
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.recognise(table(spark, sf_dir, "documents")).select("doc_id", "n_known", "licenses")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup, op2_chat_format, op3_decontamination, op4_quality_classifier, op5_substring_dedup, op6_packing, op7_quality_rules, op8_secret_scan,
+        op9_toxicity, op10_license_scan,
+    )
+}
 ORACLE_SQL = {"op2_chat_format": OP2_SQL}
