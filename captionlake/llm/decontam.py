@@ -120,33 +120,58 @@ def _blocks(items: Iterator, most: int) -> Iterator[list]:
         yield block
 
 
+    def hits(self, text: str | None, threshold: float, least: int) -> list[tuple]:
+        """(item_id, words of the item, words covered, tiles) of the items in a text."""
+        number = self.vocabulary.get
+        ids = np.array([number(w, 0) for w in words(text)], np.int64)
+        found = []
+        for k in self.candidates(ids, least):
+            item_id, item = self.rows[k]
+            # An unknown word equals none.
+            tiles = tile(np.where(ids > 0, ids, -1), item, least)
+            covered = sum(t[2] for t in tiles)
+            if covered >= threshold * len(item):
+                found.append((item_id, len(item), covered, len(tiles)))
+        return found
+
+
+def _broadcasts(docs: DataFrame, items: DataFrame, block_words: int) -> Iterator:
+    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
+    for block in _blocks((tuple(r) for r in rows.toLocalIterator()), block_words):
+        yield docs.sparkSession.sparkContext.broadcast(block)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least: int = 5, block_words: int = 1_000_000) -> DataFrame:
     """One row for each document and item in it: coverage is the share of the item's words that tiles cover."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     result = None
-    for block in _blocks((tuple(r) for r in rows.toLocalIterator()), block_words):
-        held = spark.sparkContext.broadcast(block)
+    for held in _broadcasts(docs, items, block_words):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             known = Items(held.value, least)
-            number = known.vocabulary.get
             for batch in batches:
-                out = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = np.array([number(w, 0) for w in words(text.as_py())], np.int64)
-                    for k in known.candidates(ids, least):
-                        item_id, item = known.rows[k]
-                        # An unknown word equals none.
-                        tiles = tile(np.where(ids > 0, ids, -1), item, least)
-                        covered = sum(t[2] for t in tiles)
-                        if covered >= threshold * len(item):
-                            out.append((doc_id, item_id, len(item), covered, len(tiles), covered / len(item)))
+                out = [
+                    (doc_id, *hit, hit[2] / hit[1])
+                    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1))
+                    for hit in known.hits(text.as_py(), threshold, least)
+                ]
                 columns = zip(*out) if out else [()] * 6
                 kinds = (pa.int64(),) * 5 + (pa.float64(),)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-        found = docs.mapInArrow(run, SCHEMA)
+        found = texts.mapInArrow(run, SCHEMA)
         result = found if result is None else result.unionAll(found)
-    return result if result is not None else spark.createDataFrame([], SCHEMA)
+    return result if result is not None else docs.sparkSession.createDataFrame([], SCHEMA)
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least: int = 5, block_words: int = 1_000_000) -> DataFrame:
+    """The rows of docs in which no item is; they pass a block of items at a time."""
+    for held in _broadcasts(docs, items, block_words):
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            known = Items(held.value, least)
+            for batch in batches:
+                yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column("text")], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

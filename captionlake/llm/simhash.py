@@ -55,14 +55,19 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+    """(doc_id, h, fp): h is a hash of the text, fp its fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = np.array([fingerprint(t.as_py(), words, seed) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got)], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_hash().alias("h")).mapInArrow(run, "doc_id long, h long, fp long")
+
+
+def text_hash() -> F.Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _expand(lo1, hi1, lo2, hi2):
@@ -230,12 +235,38 @@ def trie_links(nodes: DataFrame, budget: int = 2) -> DataFrame:
     return ordered.mapInArrow(_join_tasks(budget), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
-    """One row for each row of docs: doc_id, fp, component_id (the smallest doc_id that links reach)."""
+def classes(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, h, fp), and for every fingerprint its class (fp, root, least): least is its smallest doc_id."""
     rows = materialize(fingerprints(docs, words, seed), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(trie_links(nodes.select("fp"), budget))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = materialize(named, "classes")
+    return rows, materialize(named, "classes")
+
+
+def near_duplicates(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+    """One row for each row of docs: doc_id, fp, component_id (the smallest doc_id that links reach)."""
+    rows, named = classes(docs, budget, words, seed)
     first = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(named.join(first, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+    """docs with one row of each class: that of the smallest doc_id (rows without one come last), then of the smallest text hash."""
+    rows, named = classes(docs, budget, words, seed)
+    keys = rows.join(named.select("fp", "root"), "fp").groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    keys = materialize(keys, "keys")
+    first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("first"))
+    marked = keys.join(first, "root").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
+    special = materialize(marked.where("NOT kept OR n > 1").select("doc_id", "h", "kept"), "special")
+    columns, name = docs.columns, "__h"
+    docs = docs.withColumn(name, text_hash())
+
+    def on(x: DataFrame):
+        return (docs[name] == x["h"]) & docs["doc_id"].cast("long").eqNullSafe(x["doc_id"])
+
+    left = docs.join(special, on(special), "left_anti").select(*columns)
+    again = special.where("kept")
+    if again.isEmpty():
+        return left
+    return left.unionByName(docs.join(again, on(again), "left_semi").dropDuplicates(["doc_id", name]).select(*columns))
