@@ -1,15 +1,54 @@
-"""The corpus pipeline: stages that each apply one operator to all that its predecessor kept."""
+"""The corpus pipeline: stages that each apply one operator to all that its predecessor kept.
+
+Every stage takes (spark, docs, sf_dir). All but the last return the columns of docs; the last returns pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from captionlake.llm import decontam, packing, quality_rules, secrets, simhash
+from captionlake.llm.common import materialize, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go. Rows of one doc_id and text share one verdict."""
+    return quality_rules.keep(docs)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    return simhash.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are replaced; the documents stay."""
+    return secrets.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, packing.public_tokenizer())
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality_stage),
+    ("near-dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secret scan", secret_stage),
+    ("packing", packing_stage),
+]
+#: SQL expresses neither the tries, the tiling nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
