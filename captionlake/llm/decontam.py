@@ -106,20 +106,6 @@ class Items:
         lo, hi = np.searchsorted(self.seeds, h, "left"), np.searchsorted(self.seeds, h, "right")
         return sorted({int(x) for a, b in zip(lo[hi > lo].tolist(), hi[hi > lo].tolist()) for x in self.owner[a:b]})
 
-
-def _blocks(items: Iterator, most: int) -> Iterator[list]:
-    block, size = [], 0
-    for item_id, text in items:
-        n = len(words(text))
-        if block and size + n > most:
-            yield block
-            block, size = [], 0
-        block.append((item_id, text))
-        size += n
-    if block:
-        yield block
-
-
     def hits(self, text: str | None, threshold: float, least: int) -> list[tuple]:
         """(item_id, words of the item, words covered, tiles) of the items in a text."""
         number = self.vocabulary.get
@@ -135,6 +121,19 @@ def _blocks(items: Iterator, most: int) -> Iterator[list]:
         return found
 
 
+def _blocks(items: Iterator, most: int) -> Iterator[list]:
+    block, size = [], 0
+    for item_id, text in items:
+        n = len(words(text))
+        if block and size + n > most:
+            yield block
+            block, size = [], 0
+        block.append((item_id, text))
+        size += n
+    if block:
+        yield block
+
+
 def _broadcasts(docs: DataFrame, items: DataFrame, block_words: int) -> Iterator:
     rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
     for block in _blocks((tuple(r) for r in rows.toLocalIterator()), block_words):
