@@ -73,17 +73,15 @@ class Packer:
     def level_for(self, size: int) -> int:
         """The fill level to put a piece on; 0 opens a window. Ties go to the fullest level."""
         n, w = self.levels, self.window
-        below = n[1 : w - size + 1]
-        # The change of the sum of squares, halved and without what all choices have in common; a completed window leaves the array.
-        change = np.where(below > 0, -below, w * self.max_open + 1)
-        change[: w - size - 1 if w - size >= 1 else 0] += n[size + 1 : w] + 1
-        best = n[size]
-        if len(change):
-            h = len(change) - 1 - int(np.argmin(change[::-1]))
-            # opening: 2 n + 1; moving up: 2 (n' - n + 1); completing: 1 - 2 n
-            delta = 2 * int(change[h]) + (1 if h + 1 + size == w else 0)
-            if below[h] > 0 and delta <= 2 * int(best) + 1:
-                return h + 1
+        # What a level h adds to the sum: 1 - 2 n[h] if the window is completed, since it leaves the array, else 2 (n[h + size] - n[h] + 1).
+        added = 2 - 2 * n[1 : w - size + 1]
+        added[:-1] += 2 * n[size + 1 : w]
+        added[-1:] -= 1
+        added[n[1 : w - size + 1] == 0] = np.iinfo(np.int64).max
+        if len(added):
+            h = len(added) - int(np.argmin(added[::-1]))
+            if added[h - 1] <= 2 * n[size] + 1:
+                return h
         return 0
 
     def add(self, doc_id, ids: np.ndarray) -> None:
