@@ -169,15 +169,14 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str = "[secret]") -> DataFrame:
     """docs whose texts have `mark` in place of every found span; of spans that overlap, the whole union is replaced. n_chars follows."""
-    columns, text = docs.columns, F.col("text").cast("string")
-    d = scan(docs.withColumn("was_null", text.isNull()), rules)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    d = scan(docs.select(row, F.col("text").cast("string").alias("text")), rules)
     # Spans by start: a piece ends where the next span starts, unless that lies in what is already covered.
     out = (
         "aggregate(found, struct(0 AS at, '' AS out), (a, x) -> struct(greatest(a.at, x.e) AS at, "
         f"if(x.s >= a.at, concat(a.out, substr(text, a.at + 1, x.s - a.at), {_sql(mark)}), a.out) AS out), "
         "a -> concat(a.out, substr(text, a.at + 1)))"
     )
-    d = d.withColumn("text", F.expr(f"if(size(found) = 0, if(was_null, NULL, text), {out})"))
-    if "n_chars" in columns:
-        d = d.withColumn("n_chars", F.expr("if(size(found) = 0, n_chars, cast(length(text) AS long))"))
-    return d.select(*columns)
+    d = d.withColumn("new", F.expr(f"if(size(found) = 0, __row.text, {out})"))
+    changed = {"text": F.col("new"), "n_chars": F.expr("if(size(found) = 0, __row.n_chars, length(new))").cast("long") if "n_chars" in docs.columns else None}
+    return d.select(*[changed.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
