@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, packing, quality_knn, quality_rules, secrets, simhash, substring, toxicity
+from . import chat, decontam, licenses, oracles, packing, quality_knn, quality_rules, secrets, simhash, substring, toxicity
 from .common import table
 
 
@@ -80,4 +80,4 @@ QUERIES = {
         op9_toxicity, op10_license_scan,
     )
 }
-ORACLE_SQL = {"op2_chat_format": OP2_SQL}
+ORACLE_SQL = {"op2_chat_format": OP2_SQL, "op8_secret_scan": oracles.secrets_sql(), "op10_license_scan": oracles.licenses_sql()}
