@@ -65,3 +65,12 @@ class QcConfig:
 
 
 CUE, PLAN, POLARITY, QC = CueConfig(), PlanConfig(), PolarityConfig(), QcConfig()
+
+
+def parse_threshold(text: str | None) -> float:
+    """A score threshold as typed: empty is 0.5, one decimal comma is allowed, and it must lie in (0, 1]."""
+    text = (text or "").strip()
+    value = float(text.replace(",", ".", 1)) if text else 0.5
+    if not 0 < value <= 1:
+        raise ValueError(f"threshold {text!r} is not in (0, 1]")
+    return value

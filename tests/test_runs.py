@@ -90,3 +90,26 @@ def test_job_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.job: (r.status, r.stage, r["lines"]) for r in spark.table("status").collect()}
     assert got == {1: ("done", "prepare", 3), 2: ("stopped", "plan", 3)}
+
+
+def test_sample_stream(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1)
+    rows = [(1, t0 + timedelta(milliseconds=250 * k), 0.5, -0.5 if k < 4 else 0.5) for k in range(8)] + [(1, t0 + timedelta(minutes=5), 0.0, 0.0)]
+    spark.createDataFrame(rows, "file_id long, ts timestamp, l double, r double").write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema("file_id long, ts timestamp, l double, r double").parquet(str(tmp_path / "in"))
+    q = J.sample_energy(s).writeStream.format("memory").queryName("energy").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert [(r.mix, r["diff"]) for r in spark.table("energy").orderBy("w.start").collect()] == [(0.0, 0.25), (0.25, 0.0)]
+
+
+def test_threshold():
+    import pytest
+
+    from captionlake.config import parse_threshold
+
+    assert [parse_threshold(x) for x in (None, " ", "0,7", "1")] == [0.5, 0.5, 0.7, 1.0]
+    for bad in ("0", "1.1", "nan", "inf", "x", "0,,5"):
+        with pytest.raises(ValueError):
+            parse_threshold(bad)
