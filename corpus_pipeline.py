@@ -6,7 +6,6 @@ Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from captionlake.llm import decontam, packing, quality_rules, secrets, simhash
 from captionlake.llm.common import materialize, table
