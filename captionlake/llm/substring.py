@@ -297,7 +297,8 @@ def removal_runs(docs: DataFrame, least: int = 400, filter_bits: int = 26, hot:
     occ = materialize(texts.mapInArrow(emit, CONTEXT), "contexts")
     # Anchors that stand twice or more; those with one context are settled.
     twice = occ.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("m > 1").select("g", F.expr("c1 <> c2").alias("several"))
-    seen = materialize(occ.join(twice, "g"), "repeats")
+    # Written first, so that both sides of the join are plain exchanges, whose hot keys Spark can split.
+    seen = materialize(occ.join(materialize(twice, "anchors"), "g"), "repeats")
     settled = seen.where("NOT several").select("tkey", F.array(F.struct(F.col("p").alias("s"), (F.col("p") + F.col("windows")).alias("e"))).alias("runs"))
     open_ = seen.where("several")
     asked = open_.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tkey", "p", "windows", "rel")).alias("x"))
