@@ -1,7 +1,8 @@
 """Licence recognition by sentences, in DataFrame functions alone.
 
-A text is cut into sentences, each is normalised (lower case, runs of other signs than letters and digits become one space) and
-mapped to the identifier of a known licence sentence. Identifiers are written as one sign each, unknown sentences as a
+A text is written as lower-case words with signs between them: a blank, or a boundary where a sentence may begin or end. Known
+sentences are found from boundary to boundary; a line end, a colon or a semicolon may also stand inside one, so that wrapped
+texts are read, and a list number before one is left out. Identifiers are written as one sign each, unknown parts as a
 dot, and the sequence is matched against ordered rules: the longest rule that starts at a sentence wins, and matching
 goes on behind it. Everything happens where the text lies, without a shuffle.
 
@@ -72,7 +73,15 @@ RULES = (
     (("spdx_apache2",), "Apache-2.0"),
     (("spdx_gpl3",), "GPL-3.0"),
 )
-SPLIT = r"(?<=[.!?;:])[\s*/#>|-]+|[\s]*\n[\s*/#>|-]*"
+#: Boundaries, as capitals, which lower-case text doesn't have: end mark (H), line before a blank one (P), line end, colon or semicolon (S).
+BOUNDARIES = (
+    (r"[.!?][\s*/#>|-]++", "H"),
+    (r"\n[*/#>|\x20\t\r\f\x0B-]*+(?=\n)", "P"),
+    (r"\n|[;:](?=[\s*/#>|-])|[)](?=\s)(?<=[\nH;:][\s*/#>|-]{0,9}[(]?[0-9a-z]{1,2}[)])", "S"),
+    (r"[^a-z0-9HPS]++", " "),
+    (r" ?([HPS]) ?", "$1"),
+)
+NUMBER = r"(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})"
 
 
 def normalised(sentence: str) -> str:
@@ -84,6 +93,12 @@ def _signs(sentences: dict[str, str]) -> dict[str, str]:
     return {name: chr(0xE000 + k) for k, name in enumerate(sentences)}
 
 
+def _anywhere(sentence: str) -> str:
+    """A pattern of the sentence over words and boundaries. Only addresses are set off by blank lines within sentences."""
+    first, *rest = normalised(sentence).split()
+    return first + "".join(("[ SP]+" if w == "http" else "[ S]+") + w for w in rest)
+
+
 def recognise(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
     """One row for each row of docs: doc_id, n_known (known sentences), licenses (names in order, comma-joined), license_list, sequence."""
     signs = _signs(sentences)
@@ -91,14 +106,15 @@ def recognise(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULE
     ordered = sorted(rules, key=lambda r: -len(r[0]))
     pattern = "|".join("".join(signs[n] for n in names) for names, _ in ordered)
     shown = F.create_map(*[x for names, licence in ordered for x in (F.lit("".join(signs[n] for n in names)), F.lit(licence))])
-    longest = max(len(normalised(s)) for s in sentences.values())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.select(F.col("doc_id").cast("long"), F.split(text, SPLIT).alias("parts"))
-    # Sentences longer than any known one need no normal form; a dot stands for each.
-    short = F.transform(
-        "parts", lambda s: F.when(F.length(s) <= 2 * longest, F.coalesce(F.try_element_at(known, F.trim(F.regexp_replace(F.lower(s), r"[^a-z0-9]+", " "))), F.lit("."))).otherwise(".")
-    )
-    d = d.select("doc_id", F.array_join(short, "").alias("sequence"))
+    longest = sorted(sentences.values(), key=lambda s: -len(normalised(s)))
+    part = f"(?:{NUMBER}[HPS]+)?({'|'.join(map(_anywhere, longest))})(?=[HPS])|[^HPS]++"
+    text = F.concat(F.lit("\n"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit("\n"))
+    for marks, sign in BOUNDARIES:
+        text = F.regexp_replace(text, marks, sign)
+    # Unknown parts come out empty; a dot stands for each.
+    d = docs.select(F.col("doc_id").cast("long"), F.regexp_extract_all(text, F.lit(part), F.lit(1)).alias("parts"))
+    each = F.transform("parts", lambda s: F.when(s == "", F.lit(".")).otherwise(F.coalesce(F.try_element_at(known, F.regexp_replace(s, "[ SP]+", " ")), F.lit("."))))
+    d = d.select("doc_id", F.array_join(each, "").alias("sequence"))
     found = F.transform(F.regexp_extract_all("sequence", F.lit(pattern), F.lit(0)), lambda x: F.try_element_at(shown, x))
     d = d.select("doc_id", "sequence", found.alias("license_list"))
     n_known = F.length(F.replace(F.col("sequence"), F.lit("."), F.lit(""))).cast("long")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -402,3 +403,26 @@ def test_licenses(spark):
     texts = [*ODD, "Intro here. Released under the MIT License. More.", full, "released UNDER the mit-license\nLicensed under CC BY-NC 4.0. " + s["cc_by_nc4"], s["apache2_may_not"], "unreleased under the MIT License"]
     got = [r.licenses for r in licenses.recognise(docs(spark, texts)).orderBy("doc_id").collect()]
     assert got == [*[""] * len(ODD), "MIT", "Apache-2.0", "MIT,CC-BY-NC-4.0,CC-BY-NC-4.0", "", ""]
+
+
+def test_licenses_reachable(spark):
+    """Every sentence and every rule is found, on one line, wrapped, as a comment and numbered; a sentence does not go over a blank line."""
+    s, rules = licenses.SENTENCES, licenses.RULES
+    wrap = lambda t, lead="": "\n".join(textwrap.wrap(t, 70, initial_indent=lead, subsequent_indent=lead))
+    forms = (lambda t: t, wrap, lambda t: wrap(t, " * "), lambda t: f"Intro. {t}")
+    single = [f(t) for t in s.values() for f in forms]
+    got = [r.n_known for r in licenses.recognise(docs(spark, single)).orderBy("doc_id").collect()]
+    assert got == [1] * len(single), [t for t, n in zip(single, got) if n != 1]
+    whole = []
+    for names, licence in rules:
+        for join in (" ", "\n", "\n\n"):
+            for f in (str, wrap):  # a name without an end mark ends with its line
+                whole.append((join.join(f(s[n]) + "\n" * (s[n][-1] not in ".;:") for n in names), licence))
+        for number in ("{}. ", "({}) ", "  {}) "):
+            whole += [("\n".join(wrap(number.format(k) + s[n]) for k, n in enumerate(names, 1)), licence)] * (names[0][:3] == "bsd")
+    got = [r.licenses for r in licenses.recognise(docs(spark, [t for t, _ in whole])).orderBy("doc_id").collect()]
+    assert got == [x for _, x in whole], [(t, x, g) for (t, x), g in zip(whole, got) if x != g][:3]
+    apart = ["MIT\n\nLicense", "a MIT License", "Copyright (c) MIT License", "This work is licensed. under the GNU General Public License, version 3.", "the MIT\nLicense", "#" * 50_000]
+    assert {r.n_known for r in licenses.recognise(docs(spark, apart)).collect()} == {0}
+    header = "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n#\n# Unless"
+    assert licenses.recognise(docs(spark, [header])).first().n_known == 3
