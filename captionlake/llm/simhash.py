@@ -6,9 +6,13 @@ exceed the error budget. So that subtries can be dealt to tasks, there is one tr
 the bits, in which the leading block may not differ at all: two fingerprints that differ in at most budget bits agree in
 one block at least. A fingerprint therefore goes to budget + 1 tasks, whatever the corpus size.
 
-Edge cases: null or empty text and text without words have fingerprint zero, which is linked like any other; repeated
-rows give repeated result rows; a null doc_id is kept as a row and never chosen as the class id unless the class has no
-other; extra columns are ignored; an empty table gives an empty result.
+``near_duplicates`` makes classes of the fingerprints alone. ``keep_one`` uses the same trie join to find candidates, by
+fingerprints that have budget for edited copies, and decides by the exact share of five-word shingles.
+
+Edge cases: null or empty text and text without words have fingerprint zero, which is linked like any other; very long
+texts are hashed whole, BLOCK shingles at a time; a bit that is set in just half of the hashes is not set; repeated rows
+give repeated result rows; a null doc_id is kept as a row and never chosen as the class id unless the class has no other;
+extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, free_name, key_filter, materialize, may_hold
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Shingles whose bits are counted at once; bounds the memory that a long text takes.
@@ -44,9 +48,8 @@ def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarr
     return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :].tolist())), np.uint64, len(starts))
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """The unsigned 64-bit fingerprint."""
-    hashes = shingle_hashes(text, words, seed)
+def majority(hashes: np.ndarray) -> int:
+    """The unsigned 64-bit number whose bits are set in over half of the hashes."""
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), BLOCK):
         part = hashes[k : k + BLOCK].astype("<u8")
@@ -54,6 +57,17 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """The unsigned 64-bit fingerprint of a text's shingles."""
+    return majority(shingle_hashes(text, words, seed))
+
+
+def word_fingerprint(text: str | None, seed: int) -> int:
+    """The fingerprint of the distinct words of a text, each counted once: an edit of a word moves few of its bits."""
+    found = set((text or "").encode("utf-8", "replace").translate(LOWER).split())
+    return majority(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in found), np.uint64, len(found)))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, h, fp): h is a hash of the text, fp its fingerprint as a signed long."""
 
@@ -247,26 +261,111 @@ def classes(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) ->
 def near_duplicates(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
     """One row for each row of docs: doc_id, fp, component_id (the smallest doc_id that links reach)."""
     rows, named = classes(docs, budget, words, seed)
-    first = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(first, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    # What is aggregated is written before it is joined: both sides are then plain exchanges, whose hot keys Spark can split.
+    first = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "first")
+    ids = materialize(named.join(first, "root").select("fp", "component_id"), "ids")
+    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, budget: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
-    """docs with one row of each class: that of the smallest doc_id (rows without one come last), then of the smallest text hash."""
-    rows, named = classes(docs, budget, words, seed)
-    keys = rows.join(named.select("fp", "root"), "fp").groupBy("root", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
-    keys = materialize(keys, "keys")
-    first = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("first"))
-    marked = keys.join(first, "root").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
-    special = materialize(marked.where("NOT kept OR n > 1").select("doc_id", "h", "kept"), "special")
-    columns, name = docs.columns, "__h"
-    docs = docs.withColumn(name, text_hash())
-
-    def on(x: DataFrame):
-        return (docs[name] == x["h"]) & docs["doc_id"].cast("long").eqNullSafe(x["doc_id"])
-
-    left = docs.join(special, on(special), "left_anti").select(*columns)
-    again = special.where("kept")
-    if again.isEmpty():
-        return left
-    return left.unionByName(docs.join(again, on(again), "left_semi").dropDuplicates(["doc_id", name]).select(*columns))
+def _similar(a: str, b: str, share: float) -> str:
+    """SQL: whether two arrays of distinct shingle hashes have a Jaccard similarity of `share` or more; two empty ones have."""
+    both = f"size(array_intersect({a}, {b}))"
+    near = f"least(size({a}), size({b})) >= {share} * greatest(size({a}), size({b}))"  # the similarity can't exceed the ratio of the sizes
+    return f"({near} AND {both} >= {share} * (size({a}) + size({b}) - {both}))"
+
+
+def _leaders(members: DataFrame, share: float) -> DataFrame:
+    """(key, h) of the members (root, key, h, sh) that stay: in the order of key and h, a member goes if it is similar to one of its
+    component that stays.
+
+    A round takes the next members of every component as leaders, twice as many as the round before, sorts out those that
+    are similar to an earlier one, and compares all that are left with them. One round is enough where a component is one
+    text with edited copies; nothing but a round's leaders is gathered.
+    """
+    kept, many = None, 1
+    while True:
+        order = Window.partitionBy("root").orderBy("key", "h")
+        # The few first of each component: a min by aggregate, so that a large component is not sorted in one task.
+        if many == 1:
+            first = members.groupBy("root").agg(F.min(F.struct("key", "h")).alias("x")).select("root", "x.key", "x.h")
+        else:
+            spread = members.select("root", "key", "h", (F.col("h") % 64).alias("salt"))
+            near = Window.partitionBy("root", "salt").orderBy("key", "h")
+            first = spread.withColumn("n", F.row_number().over(near)).where(f"n <= {many}").withColumn("n", F.row_number().over(order)).where(f"n <= {many}").select("root", "key", "h")
+        first = materialize(first, "first")
+        lead = members.join(first, ["root", "key", "h"]).groupBy("root").agg(F.array_sort(F.collect_list(F.struct("key", "h", "sh"))).alias("x"))
+        if many > 1:
+            none = "filter(x, y -> false)"
+            lead = lead.withColumn("x", F.expr(f"aggregate(x, {none}, (a, y) -> if(exists(a, z -> {_similar('y.sh', 'z.sh', share)}), a, concat(a, array(y))))"))
+        lead = materialize(lead, "leaders")
+        stay = lead.select(F.explode("x").alias("x")).select("x.key", "x.h")
+        kept = stay if kept is None else kept.union(stay)
+        left = members.join(lead, "root").where(f"NOT exists(x, y -> {_similar('y.sh', 'sh', share)})").drop("x")
+        members = materialize(left, "members")
+        if members.isEmpty():
+            return kept
+        many *= 2
+
+
+def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
+    """docs with one row of each group of near-duplicates: that of the smallest doc_id (rows without one come last), then of the smallest text hash.
+
+    Texts are candidates when one of their word fingerprints (one for each seed) differs in at most budget bits; candidates
+    are joined by the trie and form components. Within a component a text goes if its word shingles have a Jaccard
+    similarity of `share` or more with those of a text that stays. Texts of fewer words than a shingle are one shingle.
+
+    Equal texts are one text throughout. Null text counts as empty; texts without words are all equal; a row whose doc_id
+    and text both repeat stays once; very long texts are read whole; extra columns, whatever their names, are carried
+    along; an empty table gives an empty result.
+    """
+    h, at, other = (free_name(docs.columns, x) for x in ("own_hash", "own_key", "other"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))  # rows without doc_id sort last
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(2)]
+            fps = [pa.array(np.array([word_fingerprint(t, s) for t in texts], np.uint64).view(np.int64)) for s in seeds]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *fps], ["key", "h", *(f"fp{k}" for k in range(len(seeds)))])
+
+    schema = ", ".join(["key long", "h long", *(f"fp{k} long" for k in range(len(seeds)))])
+    rows = materialize(docs.select(key.alias("key"), text_hash().alias("h"), text.alias("text")).mapInArrow(marks, schema), "fingerprints")
+    # One node for each text; equal texts have equal fingerprints.
+    nodes = materialize(rows.groupBy("h").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n"), *[F.min(f"fp{k}").alias(f"fp{k}") for k in range(len(seeds))]), "texts")
+    links = None
+    for k in range(len(seeds)):
+        fp = nodes.select("h", F.col(f"fp{k}").alias("fp"))
+        one = materialize(fp.groupBy("fp").agg(F.min("h").alias("h1")), "one")
+        same = fp.join(one, "fp").where("h <> h1").select(F.col("h").alias("a"), F.col("h1").alias("b"))
+        pairs = trie_links(one.select("fp"), budget)
+        ends = pairs.join(one.select(F.col("fp").alias("a"), F.col("h1").alias("x")), "a").join(one.select(F.col("fp").alias("b"), F.col("h1").alias("y")), "b")
+        more = same.union(ends.select("x", "y"))
+        links = more if links is None else links.union(more)
+    roots = materialize(connected_components(links).withColumnRenamed("node", "h"), "roots")
+    members = materialize(nodes.select("h", "key").join(roots, "h"), "members")
+    # Shingles of texts in components; a filter keeps most other texts out of the join.
+    held = docs.sparkSession.sparkContext.broadcast(key_filter(members, "h"))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # copies within a task go once
+        for batch in batches:
+            hit = np.flatnonzero(may_hold(held.value, batch.column(2).to_numpy())).tolist()
+            number = batch.column(0).to_numpy()
+            new = [k for k in hit if number[k] not in sent and not sent.add(number[k])]
+            got = [np.unique(shingle_hashes(batch.column(1)[k].as_py(), words)).view(np.int64) for k in new]
+            yield pa.RecordBatch.from_arrays([pa.array(number[new]), pa.array(got, pa.list_(pa.int64()))], ["h", "sh"])
+
+    sh = docs.select(text_hash().alias("h"), text.alias("text")).withColumn("f", F.xxhash64("h")).mapInArrow(shingles, "h long, sh array<long>")
+    sh = sh.groupBy("h").agg(F.first("sh").alias("sh"))  # equal texts have equal shingles
+    members = materialize(members.join(materialize(sh, "shingles"), "h").select("root", "key", "h", "sh"), "members")
+    kept = materialize(_leaders(members, share), "kept")
+    gone = members.select("h").join(kept, "h", "left_anti").withColumn("key", F.lit(0).cast("long")).withColumn("n", F.lit(0).cast("long"))
+    repeated = nodes.where("n > 1").join(members.select("h").join(kept, "h", "left_anti"), "h", "left_anti").select("h", "key", "n")
+    special = materialize(gone.select("h", "key", "n").union(repeated), "special")
+    # Texts that neither go nor repeat stay as they are; of those that repeat, the row of the smallest key.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    special = special.select(F.struct("h", "key", "n").alias(other))
+    found = docs.withColumns({h: text_hash(), at: key}).join(special, F.col(h) == F.col(f"{other}.h"), "left")
+    left = found.where(F.col(other).isNull()).select(*columns)
+    again = found.where((F.col(f"{other}.n") > 0) & (F.col(at) == F.col(f"{other}.key"))).dropDuplicates([h, at]).select(*columns)
+    return left.unionByName(again)
