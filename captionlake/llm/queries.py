@@ -42,7 +42,7 @@ FROM e GROUP BY conv_id
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
-    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256", (F.size("spans") > 0).alias("has_repeats"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

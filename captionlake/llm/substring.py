@@ -14,12 +14,14 @@
 An anchor with more than HOT contexts is split: a window contains either more bytes on the left of the core or more on the right
 of it, so its contexts are cut in two with longer cores, again and again until no group is hot.
 
-Texts are shuffled only if they may hold a wanted context; which these are tells a Bloom filter of fixed size (``filter_bits``).
+Texts are shuffled only if they may hold a wanted context; which these are tells a Bloom filter sized by their
+number (128 MB at most).
 Texts are known by MD5, so copies share what is found for one.
 
 Edge cases: null text is empty; texts shorter than `least` lose nothing; repeated rows are places of their own, so that
-a repeated row of `least` bytes or more loses all; overlaps count, also within one text; null doc_id is kept as a row;
-extra columns are ignored; an empty table gives an empty result.
+a repeated row of `least` bytes or more loses all; overlaps count, also within one text; very long texts are hashed in
+stretches of STRETCH starts and read whole; there are no ties, since every place of a string that repeats is removed;
+null doc_id is kept as a row; extra columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import key_filter, materialize, may_hold
 
 CORE = 64
 ODD = 0x9E3779B97F4A7C15
@@ -107,7 +109,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         rank = (rank << (9 * reach)) | nxt
         reach *= 2
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)  # suffixes that share `depth` signs may stand in any order
         ordered = rank[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
         if reach >= depth or new[-1] == n - 1:
@@ -128,7 +130,7 @@ def deep_neighbours(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
     n = len(text)
     bwt = text[order - 1]
     lf = np.empty(n, np.int64)
-    lf[np.argsort(bwt, kind="stable")] = np.arange(n)
+    lf[np.argsort(bwt.astype(np.uint16), kind="stable")] = np.arange(n)  # of 16 bits: a radix sort
     starts = np.flatnonzero(np.concatenate(([True], bwt[1:] != bwt[:-1])))  # runs of one sign
     stops = np.append(starts[1:], n)
     run = np.cumsum(np.concatenate(([0], (bwt[1:] != bwt[:-1]).astype(np.int64))))
@@ -243,20 +245,6 @@ def _split(least: int):
     return run
 
 
-def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
-    """A Bloom filter with one hash of the column tkey: 2**bits bits, whatever the number of keys."""
-    h = keys.select(F.expr(f"xxhash64(tkey) & {(1 << bits) - 1}L").alias("h"))
-    words = h.groupBy(F.expr("shiftright(h, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("b")).toArrow()
-    out = np.zeros(1 << bits - 6, np.int64)
-    out[words.column(0).to_numpy()] = words.column(1).to_numpy()
-    return out
-
-
-def _held(words: np.ndarray, h: np.ndarray) -> np.ndarray:
-    h = h & np.int64((len(words) << 6) - 1)
-    return (words[h >> 6].view(np.uint64) >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 def _resolve(ctx: DataFrame, least: int, hot: int) -> DataFrame:
     """(g, c, runs) for contexts (g, c, n, rel, core, body); groups with over `hot` contexts are split first."""
     find = lambda rows: rows.select("g", "c", "n", "body").repartition("g").sortWithinPartitions("g", "c").mapInArrow(
@@ -278,7 +266,7 @@ def _resolve(ctx: DataFrame, least: int, hot: int) -> DataFrame:
     return find(ctx.join(many, "g", "left_anti")).unionByName(back)
 
 
-def removal_runs(docs: DataFrame, least: int = 400, filter_bits: int = 26, hot: int = HOT) -> DataFrame:
+def removal_runs(docs: DataFrame, least: int = 400, hot: int = HOT) -> DataFrame:
     """(tkey, runs): for texts with repeats, the runs (s, e) of window starts that also start elsewhere; unordered, may touch."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("tkey"), "text")
@@ -304,13 +292,13 @@ def removal_runs(docs: DataFrame, least: int = 400, filter_bits: int = 26, hot:
     asked = open_.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tkey", "p", "windows", "rel")).alias("x"))
     asked = asked.groupBy("x.tkey").agg(F.collect_list(F.struct("g", "c", "n", "x.p", "x.windows", "x.rel")).alias("asked"))
     asked = materialize(asked, "asked")
-    held = spark.sparkContext.broadcast(key_filter(asked, filter_bits))
+    held = spark.sparkContext.broadcast(key_filter(asked, "tkey"))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()  # copies within a task go once
         for batch in batches:
             keep = []
-            for k in np.flatnonzero(_held(held.value, batch.column(2).to_numpy())).tolist():
+            for k in np.flatnonzero(may_hold(held.value, batch.column(2).to_numpy())).tolist():
                 key = batch.column(0)[k].as_py()
                 if key not in sent:
                     sent.add(key)
@@ -345,17 +333,17 @@ def _merged(runs: list[dict], least: int) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def remove_repeats(docs: DataFrame, least: int = 400, filter_bits: int = 26, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, least: int = 400, hot: int = HOT) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, spans (byte start, end) removed, kept_sha256."""
     spark = docs.sparkSession
-    runs = removal_runs(docs, least, filter_bits, hot)
+    runs = removal_runs(docs, least, hot)
     runs = materialize(runs.groupBy("tkey").agg(F.array_distinct(F.flatten(F.collect_set("runs"))).alias("runs")), "removals")
-    held = spark.sparkContext.broadcast(key_filter(runs, filter_bits))
+    held = spark.sparkContext.broadcast(key_filter(runs, "tkey"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Only texts that may lose bytes go on as texts.
         for batch in batches:
-            hit = _held(held.value, batch.column(3).to_numpy())
+            hit = may_hold(held.value, batch.column(3).to_numpy())
             data = [t.as_py().encode("utf-8", "replace") for t in batch.column(2)]
             arrays = [
                 batch.column(0), batch.column(1), pa.array(list(map(len, data)), pa.int64()), pa.array([hashlib.sha256(d).hexdigest() for d in data]),
