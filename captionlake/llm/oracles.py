@@ -24,7 +24,7 @@ def secrets_sql() -> str:
     rules = BASE + MORE
     found = []
     for k, r in enumerate(rules):
-        p = _quoted(_either_case(r.pattern))
+        p = _quoted(_either_case(re.sub(r"\(\?<![^)]*\)", "", r.pattern)))  # RE2 has no look-behind: a token may also begin inside a run
         size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda y: length(y))), 0)"
         start = f"{size('s[1:i]')} + {size('m[1:i - 1]')}"
         spans = f"list_transform(list_filter(range(1, len(m) + 1), lambda i: length(g[i]) >= {r.least}), lambda i: {{'s': CAST({start} AS BIGINT), 'o': {k}, 'e': CAST({start} + length(m[i]) AS BIGINT)}})"
