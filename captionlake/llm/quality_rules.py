@@ -1,23 +1,37 @@
 """Quality rules: base counts of every text, then robust multivariate outliers by language and source; DataFrame functions alone.
 
 The five transformed statistics of a document are compared with a minimum-covariance-determinant estimate of its (lang,
-source) group. It starts from medians and quartile ranges; each concentration step takes the share ``support`` of the
-group that is nearest by Mahalanobis distance and estimates mean and covariance anew. All statistics are mergeable
-aggregates, so that a group that holds a third of all rows is summed map-side, and the group estimates are joined back
-by key. ``FLOOR`` is added to the deviations, without which the zeros that most documents have (symbols, repeats) would make every other
-document an outlier.
-
-Edge cases: null or empty text has zero words and fails the base rule; null lang or source is a group of its own; groups
-with fewer than ``least`` documents have no verdict, so base rules decide alone; repeated rows and null doc_id are kept
-as rows; extra columns are ignored; an empty table gives an empty result.
+source) group. Three starts (medians with quartile ranges; correlations of squashed values; correlations of directions
+from the medians) are concentrated each: a step takes the share ``support`` of the group that is nearest by Mahalanobis
+distance and estimates mean and covariance anew, until no determinant falls any more. The start that ends with the least
+determinant wins. Its covariance is made consistent for normal data, and estimated once more from all documents within
+the 97.5 % quantile.
+
+Every document has a verdict: estimates are made for a language and for all documents as well, and those of a group are
+drawn towards those of its language, and these towards those of all, by the weight ``prior`` against the group's rows.
+
+A share of n units has a sampling error of 1 / (4 n) after the square root, a mean word length one that falls with the
+words; these variances (``NOISE``), from a document's own counts, are added to its group's covariance. So the zeros that
+most documents have (symbols, repeats) don't make an outlier of every other short document, and no constant floor decides.
+
+All statistics are mergeable aggregates: a group with a third of all rows is summed map-side, and what is joined back is
+a few numbers for each group.
+
+Edge cases: null or empty text has zero words and fails the base rule; null lang or source is a group of its own; very
+long texts are counted whole; of equal distances at the support's border all are taken; starts of equal determinant give
+way to the first; rows that repeat count as often as they stand, and null doc_id is kept as a row; extra columns,
+whatever their names, are ignored or carried along (``keep``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize
 
 WORDS = r"filter(split(coalesce(cast(text AS string), ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 #: Words of the text in windows of five that occur twice or more: hashes sorted with their places, places in order, gaps summed.
@@ -33,15 +47,40 @@ transform(array(if(size(words) < 5, array(), transform(sequence(0, size(words) -
 LINES = r"filter(split(coalesce(cast(text AS string), ''), '\\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"
 
 STATS = ("x0", "x1", "x2", "x3", "x4")
-#: Standard deviations that are added to what is estimated: ln words, ln mean word length, roots of the shares of symbols, repeated words and repeated lines.
-FLOOR = (1.0, 0.15, 0.12, 0.12, 0.15)
-#: Fixed value: quantile 1 - 1e-6 of chi-square with five degrees of freedom.
-CUTOFF = 35.888
+#: Forms of the statistics: ln words, ln mean word length, roots of the shares of symbols, repeated words and repeated lines.
+FORMS = ("ln(n)", "ln(c / n)", "sqrt(n_symbols / c)", "sqrt(n_repeat_words / n)", "sqrt(n_dup_lines / l)")
+#: Sampling variances of the forms. Word lengths vary by about half their mean; symbols come by words; a repeat has ten words at least, so that ten words are a unit.
+NOISE = ("0D", "0.25D / n", "0.25D / n", "2.5D / n", "0.25D / l")
+PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
+ACCURACY = 2000
+
+
+def chi_square(x: float, odd: int) -> float:
+    """Distribution function of chi-square with an odd number of degrees of freedom."""
+    term, total = 1.0, 0.0
+    for k in range(1, odd - 1, 2):
+        term = term * (x / k) if k > 1 else 1.0
+        total += term
+    return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * total
+
+
+def chi_square_quantile(share: float, odd: int) -> float:
+    lo, hi = 0.0, 1000.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi_square(mid, odd) < share else (lo, mid)
+    return hi
 
 
-def base_counts(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and the columns `more` of docs."""
+def consistency(share: float) -> float:
+    """What the covariance of the nearest `share` of normal rows is multiplied by to be that of all."""
+    return share / chi_square(chi_square_quantile(share, 5), 7)
+
+
+def base_counts(docs: DataFrame, more: str | None = None) -> DataFrame:
+    """doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and the column `more` of docs."""
     text = F.expr("coalesce(cast(text AS string), '')")
+    more = [more] if more else []
     d = docs.select(
         F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.expr(WORDS).alias("words"), F.expr(LINES).alias("lines"),
         (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"), *more,
@@ -55,69 +94,135 @@ def base_counts(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def _transformed(rows: DataFrame) -> DataFrame:
-    n = "greatest(n_words, 1L)"
-    forms = (f"ln({n})", f"ln(greatest(word_chars, 1L) / {n})", "sqrt(n_symbols / greatest(word_chars, 1L))", f"sqrt(n_repeat_words / {n})", "sqrt(n_dup_lines / greatest(n_lines, 1L))")
-    rows = rows.withColumns(dict(zip(STATS, map(F.expr, forms))))
-    return rows.withColumn("grp", F.to_json(F.struct("lang", "source")))
+    """rows with the statistics x_i, their sampling variances u_i, and the keys g0, g1, g2 of all, the language and the group."""
+    units = {"n": "greatest(n_words, 1L)", "c": "greatest(word_chars, 1L)", "l": "greatest(n_lines, 1L)"}
+
+    def spelt(form: str) -> F.Column:
+        for name, unit in units.items():
+            form = re.sub(rf"\b{name}\b", unit, form)
+        return F.expr(form)
+
+    rows = rows.withColumns({**dict(zip(STATS, map(spelt, FORMS))), **{f"u{i}": spelt(x) for i, x in enumerate(NOISE)}})
+    # Values, and which of them are null, so that null is a key of its own.
+    return rows.withColumns({"g0": F.lit("all"), "g1": F.to_json(F.struct("lang")), "g2": F.to_json(F.struct("lang", "source", F.lit(2).alias("level")))})
 
 
-def _with_cholesky(groups: DataFrame) -> DataFrame:
-    """Columns l_ij of the lower triangular root of the covariance c_ij with FLOOR added."""
+def _root(groups: DataFrame, noise: bool = True) -> DataFrame:
+    """Columns l_ij of the lower triangular root of the covariance c_ij, the noise u_i added, and the logarithm of its determinant."""
     for j in range(5):
         for i in range(j, 5):
-            rest = " - ".join([f"(c{i}{j} + {FLOOR[j] ** 2 if i == j else 0.0}D)"] + [f"l{i}{k} * l{j}{k}" for k in range(j)])
+            own = f"c{i}{j} + u{i} + 1e-9D" if i == j else f"c{i}{j}"
+            rest = " - ".join([f"({own})"] + [f"l{i}{k} * l{j}{k}" for k in range(j)])
             groups = groups.withColumn(f"l{i}{j}", F.expr(f"sqrt(greatest({rest}, 1e-12D))" if i == j else f"({rest}) / l{j}{j}"))
-    return groups.select("grp", "n", *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i in range(5) for j in range(i + 1)])
+    return groups.withColumn("det", F.expr(" + ".join(f"2 * ln(l{i}{i})" for i in range(5))))
 
 
-def _distances(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    rows = rows.join(groups, "grp", "left")
+def _distance(rows: DataFrame) -> DataFrame:
+    """rows (x_i, m_i, l_ij) with d2."""
     for i in range(5):
         solved = "".join(f" - l{i}{k} * y{k}" for k in range(i))
         rows = rows.withColumn(f"y{i}", F.expr(f"(x{i} - m{i}{solved}) / l{i}{i}"))
     return rows.withColumn("d2", F.expr(" + ".join(f"y{i} * y{i}" for i in range(5))))
 
 
-def mcd(rows: DataFrame, support: float = 0.75, steps: int = 3) -> DataFrame:
-    """One row for each grp: n, means m_i and the root l_ij of the covariance. rows: grp and x0 to x4."""
-    q = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}") for i, x in enumerate(STATS)])
-    first = q.select("grp", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(5)], *[
-        (F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(5) for j in range(i + 1)
-    ])
-    groups = materialize(_with_cholesky(first), "mcd")
-    for _ in range(steps):
-        near = _distances(rows, groups).select("grp", "d2", *STATS)
-        cut = near.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("d2", support, 10000).alias("cut"))
-        # Written first: a few values for each group, which a join can broadcast or, when there are many groups, split by.
-        inside = near.join(materialize(cut, "cuts"), "grp").where("d2 <= cut")
-        sums = inside.groupBy("grp").agg(F.max("n").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)], *[
-            F.covar_pop(STATS[i], STATS[j]).alias(f"c{i}{j}") for i in range(5) for j in range(i + 1)
-        ])
-        groups = materialize(_with_cholesky(sums), "mcd")
-    return groups
-
-
-def _judged(rows: DataFrame, groups: DataFrame, cutoff: float, least: int) -> DataFrame:
-    d = _distances(rows, groups).withColumn("distance", F.expr(f"if(n >= {least}, sqrt(d2), NULL)"))
-    return d.withColumn("kept", F.expr(f"NOT base_failed AND coalesce(distance * distance <= {cutoff}D, true)"))
-
-
-def _estimates(rows: DataFrame, support: float) -> DataFrame:
-    """What fails the base rules says nothing about the others."""
-    return mcd(rows.where("NOT base_failed").select("grp", *STATS), support)
+def _moments(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)], *[(F.covar_pop(STATS[i], STATS[j]) * factor).alias(f"c{i}{j}") for i, j in PAIRS],
+    )
 
 
-def quality_rules(docs: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, least: int = 50) -> DataFrame:
-    """One row for each row of docs: the base counts, base_failed, distance (null without a verdict) and kept."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """(grp, start, u_i, m_i, c_ij): three first estimates for each group."""
+    q = rows.groupBy("grp").agg(
+        *[F.percentile_approx(x, [0.25, 0.5, 0.75], ACCURACY).alias(f"q{i}") for i, x in enumerate(STATS)], *[F.avg(f"u{i}").alias(f"u{i}") for i in range(5)],
+    )
+    q = q.select("grp", *[f"u{i}" for i in range(5)], *[F.expr(f"q{i}[1]").alias(f"m{i}") for i in range(5)], *[
+        F.expr(f"pow((q{i}[2] - q{i}[0]) / 1.349D, 2)").alias(f"v{i}") for i in range(5)
+    ])
+    q = materialize(q, "quartiles")
+    z = rows.select("grp", *STATS).join(q, "grp").select("grp", *[F.expr(f"(x{i} - m{i}) / sqrt(v{i} + u{i} + 1e-9D)").alias(f"z{i}") for i in range(5)])
+    z = z.withColumn("size", F.expr("sqrt(" + " + ".join(f"z{i} * z{i}" for i in range(5)) + ") + 1e-9D"))
+    z = z.select("grp", *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(5)], *[F.expr(f"z{i} / size").alias(f"s{i}") for i in range(5)])
+    r = z.groupBy("grp").agg(*[F.covar_pop(f"{k}{i}", f"{k}{j}").alias(f"{k}{i}{j}") for k in "ts" for i, j in PAIRS])
+    r = r.select("grp", *[F.expr(f"coalesce(try_divide({k}{i}{j}, sqrt({k}{i}{i} * {k}{j}{j})), 0D)").alias(f"{k}{i}{j}") for k in "ts" for i, j in PAIRS if i != j])
+    r = materialize(q.join(r, "grp"), "correlations")
+    found = None
+    for start, k in enumerate(("", "t", "s")):
+        c = [(F.col(f"v{i}") if i == j else F.expr(f"{k}{i}{j} * sqrt(v{i} * v{j})") if k else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS]
+        one = r.select("grp", F.lit(start).alias("start"), *[f"u{i}" for i in range(5)], *[f"m{i}" for i in range(5)], *c)
+        found = one if found is None else found.union(one)
+    return found
+
+
+def mcd(rows: DataFrame, support: float = 0.75, most: int = 30) -> DataFrame:
+    """One row for each grp: n, u_i, means m_i and covariance c_ij. rows: grp, x_i and u_i."""
+    factor = consistency(support)
+    noise = [f"u{i}" for i in range(5)]
+    groups = materialize(_root(_starts(rows)), "mcd")
+    for _ in range(most):
+        near = _distance(rows.select("grp", *STATS).join(groups, "grp")).select("grp", "start", "d2", *STATS)
+        cut = materialize(near.groupBy("grp", "start").agg(F.percentile_approx("d2", support, ACCURACY).alias("cut")), "cuts")
+        inside = near.join(cut, ["grp", "start"]).where("d2 <= cut")
+        again = _moments(inside, ["grp", "start"], factor).join(groups.select("grp", "start", F.col("det").alias("before"), *noise), ["grp", "start"])
+        again = materialize(_root(again), "mcd")
+        fell = again.where("before - det > 1e-6").isEmpty()
+        groups = again.drop("before")
+        if fell:
+            break
+    best = groups.groupBy("grp").agg(F.min(F.struct("det", "start")).alias("x")).select("grp", "x.start")
+    groups = materialize(groups.join(best, ["grp", "start"], "left_semi"), "best")
+    within = 0.975
+    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i, j in PAIRS]), "grp"))
+    near = near.where(f"d2 <= {chi_square_quantile(within, 5)}D").select("grp", *STATS)
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(_moments(near, ["grp"], consistency(within)).join(sizes, "grp"), "estimates")
+
+
+def _drawn(child: DataFrame, parent: DataFrame, on: str, prior: float) -> DataFrame:
+    """child (on, key, n, m_i, c_ij) drawn towards parent (on, m_i, c_ij); a child without rows is its parent.
+
+    The shift between the two counts as spread by the square of the child's weight, so that a single document can't widen
+    what it is judged by.
+    """
+    names = [f"m{i}" for i in range(5)] + [f"c{i}{j}" for i, j in PAIRS]
+    p = parent.select(F.col("key").alias(on), *[F.col(x).alias(f"p{x}") for x in names])
+    d = child.join(p, on, "left").withColumn("w", F.expr(f"coalesce(n, 0L) / (coalesce(n, 0L) + {prior}D)"))
+    mean = [F.expr(f"coalesce(w * m{i} + (1 - w) * pm{i}, m{i}, pm{i})").alias(f"m{i}") for i in range(5)]
+    cov = [F.expr(f"coalesce(w * c{i}{j} + (1 - w) * pc{i}{j} + w * w * (1 - w) * (m{i} - pm{i}) * (m{j} - pm{j}), c{i}{j}, pc{i}{j})").alias(f"c{i}{j}") for i, j in PAIRS]
+    return d.select("key", *mean, *cov)
+
+
+def estimates(rows: DataFrame, support: float = 0.75, prior: float = 50.0) -> DataFrame:
+    """(g2, m_i, c_ij) for every group of rows; what fails the base rules says nothing about the others."""
+    keys = F.explode(F.array("g0", "g1", "g2")).alias("grp")
+    found = mcd(rows.where("NOT base_failed").select(keys, *STATS, *[f"u{i}" for i in range(5)]), support)
+    named = materialize(rows.select("g0", "g1", "g2").distinct(), "groups")
+    whole = found.where("grp = 'all'").withColumnRenamed("grp", "key")
+    level = lambda key, on: named.select(F.col(key).alias("key"), F.col(on)).distinct().join(found.withColumnRenamed("grp", "key"), "key", "left")
+    langs = _drawn(level("g1", "g0"), whole, "g0", prior)
+    return materialize(_drawn(level("g2", "g1"), langs, "g1", prior).withColumnRenamed("key", "g2"), "drawn")
+
+
+def _judged(rows: DataFrame, groups: DataFrame, cutoff: float) -> DataFrame:
+    d = _distance(_root(rows.join(groups, "g2", "left")))
+    return d.withColumn("distance", F.expr("sqrt(d2)")).withColumn("kept", F.expr(f"NOT base_failed AND coalesce(d2 <= {cutoff}D, true)"))
+
+
+#: Documents further off than all but one in a million of normal rows are outliers.
+CUTOFF = chi_square_quantile(1 - 1e-6, 5)
+
+
+def quality_rules(docs: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, prior: float = 50.0) -> DataFrame:
+    """One row for each row of docs: the base counts, base_failed, distance (null if no document passes the base rules) and kept."""
     rows = materialize(_transformed(base_counts(docs)), "stats")
-    return _judged(rows, _estimates(rows, support), cutoff, least).select(
+    return _judged(rows, estimates(rows, support, prior), cutoff).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept"
     )
 
 
-def keep(docs: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, least: int = 50) -> DataFrame:
-    """The rows of docs that are kept. Counts are taken again, next to the texts, rather than joined to them; only estimates move."""
-    groups = _estimates(materialize(_transformed(base_counts(docs)), "stats"), support)
-    rows = _transformed(base_counts(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), "__row"))
-    # A filter would be pushed below, where it repeats all the counting for each of its terms; a generator stays.
-    return _judged(rows, groups, cutoff, least).select(F.explode(F.expr("if(kept, array(__row), array())")).alias("__row")).select("__row.*")
+def keep(docs: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, prior: float = 50.0) -> DataFrame:
+    """The rows of docs that are kept. Rows are written once beside their counts, so that no text is counted twice or moved by key."""
+    row = free_name(docs.columns, "row")
+    packed = docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    counted = materialize(_transformed(base_counts(packed, row)), "counted")
+    return _judged(counted, estimates(counted.drop(row), support, prior), cutoff).where("kept").select(f"{row}.*")
