@@ -333,7 +333,7 @@ def brute_mcd(x, u, support=0.75):
 
 
 def written(rnd, n, symbols=0.0):
-    return " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8))) + rnd.choice("$%&#") * (rnd.random() < symbols) for _ in range(n))
+    return " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8))) + rnd.choice("$%&#") * (int(symbols) or rnd.random() < symbols) for _ in range(n))
 
 
 def test_outliers(spark):
