@@ -1,14 +1,16 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
-Terms of a text are the shapes of its words (upper, lower, digits, other signs as they stand, runs shortened), pairs of
-neighbouring shapes, and how often a word, a run of five words or a line repeats. Term shares are reduced to ``rank``
-latent dimensions by a truncated singular value decomposition. At most ``sample_rows`` labelled vectors are broadcast
-(fixed size); for every document the cosine with all of them is computed exactly, in blocks, and its nearest vote with
-their labels, weighted by similarity.
-
-Edge cases: null and empty texts have only the term of their length and are scored like any other; repeated rows and
-null doc_id are kept as rows; without labelled rows all scores are one half; texts are read whole; extra columns are ignored; an empty table
-gives an empty result.
+Terms of a text are its words in lower case, hashed; the shapes of its words (upper, lower, digits, other signs as they
+stand, runs shortened) and pairs of neighbouring shapes; and how often a word, a run of five words or a line repeats.
+Term shares are reduced to ``rank`` latent dimensions by a truncated singular value decomposition. At most
+``sample_rows`` labelled vectors are broadcast (fixed size); for every document the cosine with all of them is computed
+exactly, in blocks, and its nearest vote with their labels, weighted by similarity.
+
+Edge cases: null and empty texts have only the term of their length and are scored like any other; cosines are rounded to
+five places, and all labelled texts that tie with the last neighbour vote too, so that a score doesn't depend on the
+block; repeated rows and null doc_id are kept as rows and scored alike; labelled rows that share a doc_id are one; without
+labelled rows all scores are one half; texts are read whole, however long; extra columns, whatever their names, are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,21 +27,24 @@ from pyspark.sql import functions as F
 
 from .learning import held_out, training_rows
 
-SHAPES, PAIRS, CACHE = 512, 1024, 200_000
+SHAPES, PAIRS, WORDS, CACHE = 512, 1024, 2048, 200_000
 #: Counts behind the shapes and pairs: word as before it, as two before it, repeated window of five, repeated line; then lengths by powers of two.
 COUNTS, LENGTHS = 4, 24
-WIDTH = SHAPES + PAIRS + COUNTS + LENGTHS
+PLAIN = SHAPES + PAIRS + COUNTS + LENGTHS
+WIDTH = PLAIN + WORDS
 RUN = re.compile(r"(.)\1{2,}", re.S)
-_kept: dict[str, int] = {}
+_kept: dict[str, tuple[int, int]] = {}
 
 
-def _shape(word: str) -> int:
+def _terms(word: str) -> tuple[int, int]:
+    """Hashes of the shape of a word and of the word itself."""
     got = _kept.get(word)
     if got is None:
         if len(_kept) >= CACHE:
             _kept.clear()
         form = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-        _kept[word] = got = zlib.crc32(RUN.sub(r"\1\1", form).encode("utf-8", "replace")) % SHAPES
+        hashed = lambda x, n: zlib.crc32(x.encode("utf-8", "replace")) % n
+        _kept[word] = got = hashed(RUN.sub(r"\1\1", form), SHAPES), hashed(word.lower(), WORDS)
     return got
 
 
@@ -51,7 +56,8 @@ def features(text: str | None) -> np.ndarray:
     out[SHAPES + PAIRS + COUNTS + min(n.bit_length(), LENGTHS - 1)] = 0.3
     if not n:
         return out
-    shapes = np.fromiter(map(_shape, found), np.int64, n)
+    shapes, own = np.array([_terms(w) for w in found], np.int64).T
+    out[PLAIN:] = np.sqrt(np.bincount(own, minlength=WORDS) / n)
     out[:SHAPES] = np.sqrt(np.bincount(shapes, minlength=SHAPES) / n)
     if n > 1:
         pairs = (shapes[:-1] * 1_000_003 + shapes[1:] * 7_919) % PAIRS
@@ -90,19 +96,24 @@ class Space:
         out = np.empty(len(x))
         k = min(neighbours, len(self.y))
         for a in range(0, len(x), block):
-            cosine = self.project(x[a : a + block]) @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            weight = np.exp(20.0 * (np.take_along_axis(cosine, near, axis=1).astype(float) - 1))
-            out[a : a + block] = (weight * self.y[near]).sum(axis=1) / weight.sum(axis=1)
+            cosine = np.round(self.project(x[a : a + block]) @ self.vectors.T, 5).astype(np.float64)
+            last = np.partition(cosine, -k, axis=1)[:, -k]
+            weight = np.where(cosine >= last[:, None], np.exp(20.0 * (cosine - 1)), 0)
+            out[a : a + block] = (weight @ self.y) / weight.sum(axis=1)
         return np.clip(out, 0, 1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, rank: int = 48) -> Space:
+def fit(x: np.ndarray, y: np.ndarray, rank: int = 48, seed: int = 7) -> Space:
+    """The leading singular vectors of x less its mean, by power iterations of random ones."""
     if not len(x):
         return Space(np.zeros(WIDTH, np.float32), np.zeros((WIDTH, rank), np.float32), np.zeros((0, rank), np.float32), y)
     mean = x.mean(axis=0)
-    _, vectors = np.linalg.eigh((x - mean).T @ (x - mean))
-    space = Space(mean, np.ascontiguousarray(vectors[:, ::-1][:, :rank]), np.zeros((0, rank), np.float32), y.astype(np.float32))
+    up, down = (lambda v: x @ v - mean @ v), (lambda v: x.T @ v - np.outer(mean, v.sum(axis=0)))
+    basis = np.random.default_rng(seed).normal(size=(x.shape[1], rank + 16)).astype(np.float32)
+    for _ in range(6):
+        basis, _ = np.linalg.qr(down(up(basis)))
+    _, _, turn = np.linalg.svd(up(basis), full_matrices=False)
+    space = Space(mean, np.ascontiguousarray((basis @ turn.T)[:, :rank]), np.zeros((0, rank), np.float32), y.astype(np.float32))
     space.vectors = space.project(x)
     return space
 
@@ -112,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                found = [features(t.as_py()).astype("<f2").tobytes() for t in part.column(1)]
+                found = [features(t.as_py()).astype("<f2").tobytes() for t in part.column(1)]  # a fixed size for each row
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary()), part.column(2)], ["doc_id", "x", "y"])
 
     rows = training_rows(docs, labels, label, sample_rows, balanced=False).select("doc_id", "text", "y")

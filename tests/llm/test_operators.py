@@ -494,3 +494,48 @@ def test_licenses_reachable(spark):
     assert {r.n_known for r in licenses.recognise(docs(spark, apart)).collect()} == {0}
     header = "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n#\n# Unless"
     assert licenses.recognise(docs(spark, [header])).first().n_known == 3
+
+
+def test_machine_against_naive_pairs():
+    """The score is the logistic of the bias, the weights and the products of all pairs; fitted terms that have no effect alone are kept for their pair."""
+    rnd = np.random.default_rng(3)
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    place[:20] = np.arange(20)
+    m = toxicity.Machine(place, -0.3, rnd.normal(size=20).astype(np.float32), rnd.normal(size=(20, 4)).astype(np.float32) / 2)
+    for _ in range(50):
+        found = np.flatnonzero(rnd.random(30) < 0.4)
+        inside = [t for t in found if t < 20]
+        z = m.bias + sum(m.weights[t] for t in inside) + sum(float(m.vectors[a] @ m.vectors[b]) for a in inside for b in inside if a < b)
+        assert abs(m.score(found) - 1 / (1 + np.exp(-z))) < 1e-5
+    x = (rnd.random((2000, 6)) < 0.5).astype(np.float32)
+    y = (x[:, 0] == x[:, 1]).astype(np.float32)  # neither alone tells anything
+    keep = toxicity.paired(x, y, np.zeros(6, bool))
+    assert keep.tolist() == [True, True, False, False, False, False]
+    fitted = toxicity.fit(x[:, keep], y, np.array([5, 9]), 0.5)
+    assert [fitted.score(np.array(t, np.int64)) > 0.5 for t in ([], [5], [9], [5, 9])] == [True, False, False, True]
+
+
+def test_votes_against_naive():
+    """All labelled rows that tie with the last neighbour vote; the order and the block don't matter."""
+    rnd = np.random.default_rng(4)
+    x = np.array([quality_knn.features(sentence(random.Random(k % 40), 20) + " #" * (k % 3)) for k in range(90)], np.float32)
+    space = quality_knn.fit(x, (np.arange(90) % 3 > 0).astype(np.float32), rank=8)
+    z = space.project(x)
+    got = space.vote(x, neighbours=7)
+    for k in range(90):
+        cosine = np.array([round(float(np.dot(z[k].astype(float), v.astype(float))), 5) for v in space.vectors])
+        near = cosine >= np.sort(cosine)[-7]
+        weight = np.exp(20 * (cosine - 1)) * near
+        assert abs(got[k] - (weight * space.y).sum() / weight.sum()) < 2e-3
+    order = rnd.permutation(90)
+    assert np.allclose(space.vote(x[order], neighbours=7, block=16), got[order], atol=2e-3)
+
+
+def test_labels_of_repeated_rows(spark):
+    """A doc_id that stands in many rows is one labelled row; contradictory labels are none."""
+    from captionlake.llm.learning import training_rows
+
+    d = docs(spark, ["b", "a", "a", "x", "y"], ids=[1, 1, 1, 4, 5])
+    labels = spark.createDataFrame([(1, 1), (4, 0), (4, 1), (5, 0), (None, 1)], "doc_id long, quality int")
+    got = training_rows(d, labels, "quality", 10, balanced=False).collect()
+    assert sorted((r.doc_id, r.y) for r in got) == [(k, y) for k, y in ((1, 1), (5, 0)) if zlib.crc32(str(k).encode()) % 4 != 2]
