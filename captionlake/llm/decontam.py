@@ -5,24 +5,31 @@ document that shares a seed with an item is tiled against it: the longest match
 marked, again and again, until no match of five words is left. An item whose words are covered to ``threshold`` or more
 is in the document, in whatever order its passages stand.
 
-Items are given to tasks in blocks of at most ``block_words`` words, so that what is broadcast has a fixed bound whatever the size of
-the benchmark; documents are read once for each block and never shuffled.
-
-Edge cases: null and empty texts and items match nothing; items with fewer than five words have no seed and are reported
-by none; repeated items and repeated rows are reported each; null item_id or doc_id are carried along; documents are tiled whole;
-extra columns are ignored; an empty table gives an empty result.
+Items are given to tasks in blocks of at most ``block_words`` words, so that what is broadcast has a fixed bound whatever
+the size of the benchmark. Where there are several blocks, documents are read once with a filter of all seeds (128 MB at
+most); the few that may share one are written, and only these meet the blocks. No document is shuffled.
+
+Edge cases: null and empty texts and items match nothing; items with fewer words than ``least`` have no seed and are
+reported by none (call with a smaller ``least`` for them: words as short as that stand in clean texts too); of matches of
+equal length the first in the item, then in the document, is marked; repeated items and repeated rows are reported each;
+null item_id or doc_id are carried along; documents are tiled whole, however long; extra columns, whatever their names,
+are ignored or carried along (``keep_clean``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name, key_filter, materialize, may_hold
+
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = "doc_id long, item_id long, item_words long, covered long, n_tiles long, coverage double"
@@ -134,17 +141,50 @@ def _blocks(items: Iterator, most: int) -> Iterator[list]:
         yield block
 
 
-def _broadcasts(docs: DataFrame, items: DataFrame, block_words: int) -> Iterator:
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
-    for block in _blocks((tuple(r) for r in rows.toLocalIterator()), block_words):
-        yield docs.sparkSession.sparkContext.broadcast(block)
+def _plain(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
+
+
+def seed_hashes(text: str | None, least: int) -> list[str]:
+    found = words(text)
+    return [" ".join(found[k : k + least]) for k in range(len(found) - least + 1)]
+
+
+def _may_share(docs: DataFrame, items: DataFrame, text: str, least: int) -> DataFrame:
+    """The rows of docs whose text may share `least` words in a row with some item."""
+    name = free_name(docs.columns, "seeds")
+    kind = "array<long>"
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[zlib.crc32(s.encode("utf-8", "replace")) for s in seed_hashes(t.as_py(), least)] for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["s"])
+
+    seeds = materialize(items.select("text").mapInArrow(hashed, f"s {kind}").select(F.explode("s").alias("s")).distinct(), "seeds")
+    held = docs.sparkSession.sparkContext.broadcast(key_filter(seeds.select(F.col("s").alias(name)), name))
+    mix = xxhash.xxh64_intdigest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for t in batch.column(text):
+                crc = {zlib.crc32(s.encode("utf-8", "replace")) for s in seed_hashes(t.as_py(), least)}
+                h = np.fromiter((mix(c.to_bytes(8, "little"), 42) for c in crc), np.uint64, len(crc)).view(np.int64)
+                keep.append(bool(may_hold(held.value, h).any()) if len(h) else False)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least: int = 5, block_words: int = 1_000_000) -> DataFrame:
     """One row for each document and item in it: coverage is the share of the item's words that tiles cover."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    items = _plain(items)
     result = None
-    for held in _broadcasts(docs, items, block_words):
+    for n, block in enumerate(_blocks((tuple(r) for r in items.toLocalIterator()), block_words)):
+        if n == 1:
+            texts = materialize(_may_share(texts, items, "text", least), "candidates")
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             known = Items(held.value, least)
@@ -159,18 +199,25 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, leas
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [x.split()[0] for x in SCHEMA.split(", ")])
 
         found = texts.mapInArrow(run, SCHEMA)
+        if n:  # written block by block, so that one broadcast is needed at a time
+            found = materialize(found, "hits")
+            held.destroy()
         result = found if result is None else result.unionAll(found)
     return result if result is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least: int = 5, block_words: int = 1_000_000) -> DataFrame:
-    """The rows of docs in which no item is; they pass a block of items at a time."""
-    for held in _broadcasts(docs, items, block_words):
+    """The rows of docs in which no item is. Documents are read once: the blocks' checks follow each other in one stage."""
+    spark, text = docs.sparkSession, free_name(docs.columns, "plain")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    docs = docs.withColumn(text, F.col("text").cast("string"))
+    for block in _blocks((tuple(r) for r in _plain(items).toLocalIterator()), block_words):
+        held = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             known = Items(held.value, least)
             for batch in batches:
-                yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column("text")], pa.bool_()))
+                yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column(text)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.select(*columns)

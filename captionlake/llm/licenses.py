@@ -6,8 +6,10 @@ texts are read, and a list number before one is left out. Identifiers are writte
 dot, and the sequence is matched against ordered rules: the longest rule that starts at a sentence wins, and matching
 goes on behind it. Everything happens where the text lies, without a shuffle.
 
-Edge cases: null or empty text has no sentences; a known sentence that repeats is found as often as it stands; repeated
-rows and null doc_id are kept as rows; texts are read whole; extra columns are ignored; an empty table gives an empty result.
+Edge cases: null or empty text has no sentences; a known sentence that repeats is found as often as it stands; of rules
+that start at one sentence the longest wins, of equally long ones the first; of sentences that start together the longest;
+repeated rows and null doc_id are kept as rows; texts are read whole, in time that grows with their length (no pattern
+looks back over what it has read); extra columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

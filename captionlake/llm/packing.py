@@ -4,12 +4,13 @@ A document's ids are cut into whole windows and a rest; the rest goes to the fil
 counts of partially filled windows least. The counts are a level array, one entry for each fill level. Every partition
 packs its own stream, so there is no shuffle, and a task that is run again gives the same rows.
 
-Windows that can't be completed are closed by cutting: when more than ``max_open`` are open, and at the end of a
-partition, their pieces are laid end to end and cut at window borders. What is left at the very end is cut into powers of
-two, which need no padding. Memory is bounded by one batch of texts and max_open windows.
+Windows that are still open at the end of a partition are closed by cutting: their pieces are laid end to end and cut at
+window borders. What is left at the very end is cut into powers of two, which need no padding. The same happens as a guard
+of memory when more than ``max_open`` windows are open (8,192, at most 32 MB of ids), which the rule keeps far below.
 
-Edge cases: null and empty texts are documents of the one id 0; repeated rows are packed as often as they stand; a null
-doc_id is carried along; very long texts are tokenised whole; extra columns are ignored; an empty table gives no pieces.
+Edge cases: null and empty texts are documents of the one id 0; of levels that are equally good the fullest is taken;
+repeated rows are packed as often as they stand; a null doc_id is carried along; very long texts are tokenised whole; extra
+columns, whatever their names, are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def byte_bpe(json_path: str, ranks_path: str, pattern: str, special: str = "<|en
 class Packer:
     """The level array and the open windows of one stream. rows: (doc_id, start, ids, doc_tokens, sequence, offset)."""
 
-    def __init__(self, window: int = 1024, max_open: int = 512, first: int = 0):
+    def __init__(self, window: int = 1024, max_open: int = 8192, first: int = 0):
         self.window, self.max_open, self.sequence = window, max_open, first
         self.levels = np.zeros(window + 1, np.int64)
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
@@ -144,7 +145,7 @@ class Packer:
         return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in SCHEMA.split(", ")])
 
 
-def pack(docs: DataFrame, tokenizer: Callable[[], Callable[[str], np.ndarray]], window: int = 1024, end_id: int = 0, max_open: int = 512) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: Callable[[], Callable[[str], np.ndarray]], window: int = 1024, end_id: int = 0, max_open: int = 8192) -> DataFrame:
     """One row for each piece of a document. tokenizer makes, in a worker, the function from text to ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
