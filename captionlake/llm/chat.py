@@ -7,8 +7,8 @@ and rendered; windows and the last grouping share one exchange on conv_id.
 
 Edge cases: null text, role or kind (``message``) are empty text, empty role and ``message``; a null turn sorts first; a
 null conv_id is a conversation; events of equal seq are taken by turn, kind, role and text; repeated events count as often
-as they stand; extra columns are ignored; an empty log gives no conversations. A conversation must fit in one value, since its
-rendering is one string.
+as they stand; extra columns, whatever their names, are ignored; an empty log gives no conversations. Very long texts are
+rendered whole; a conversation must fit in one value, since its rendering is one string.
 """
 
 from __future__ import annotations
@@ -94,10 +94,11 @@ def format_log(events: DataFrame, loss_role: str = "assistant") -> DataFrame:
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of what is read back from the output of render()."""
-    turns = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), F.expr("filter(segments, x -> x.loss)").alias("learnt"))
+    """Counts and digests of what is read back from the output of render(): turns by the template, the loss by its spans in the text."""
+    learnt = F.expr("transform(loss_spans, x -> substring(formatted, cast(x.start AS int) + 1, cast(x.end - x.start AS int)))")
+    turns = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), learnt.alias("learnt"))
     said = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
-    loss = F.array_join(F.transform("learnt", lambda x: unescape(x["text"])), "")
+    loss = F.array_join(F.transform("learnt", lambda x: unescape(x)), "")
     return turns.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
         loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import chat, decontam, licenses, oracles, packing, quality_knn, quality_rules, secrets, simhash, substring, toxicity
@@ -15,10 +15,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    """Conversations as they would be logged: answers stream in two parts, other turns begin as empty drafts that are edited."""
+    extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").union(extra)
-    events = rows.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), "turn", "role", "text")
+    rows = rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")))
+    parts = """if(role = 'assistant', array(struct(0 AS o, 'message' AS kind, left(text, cast(length(text) div 2 AS int)) AS part), struct(1 AS o, 'delta' AS kind, substring(text, cast(length(text) div 2 AS int) + 1) AS part)),
+      array(struct(0 AS o, 'message' AS kind, '' AS part), struct(1 AS o, 'edit' AS kind, text AS part)))"""
+    events = rows.withColumn("e", F.explode(F.expr(parts)))
+    events = events.select("conv_id", F.expr("cast(2 * k + e.o AS long)").alias("seq"), "e.kind", "turn", "role", F.col("e.part").alias("text"))
     return chat.digest(chat.format_log(events))
 
 
