@@ -2,10 +2,10 @@
 
 The five transformed statistics of a document are compared with a minimum-covariance-determinant estimate of its (lang,
 source) group. Three starts (medians with quartile ranges; correlations of squashed values; correlations of directions
-from the medians) are concentrated each: a step takes the share ``support`` of the group that is nearest by Mahalanobis
-distance and estimates mean and covariance anew, until no determinant falls any more. The start that ends with the least
-determinant wins. Its covariance is made consistent for normal data, and estimated once more from all documents within
-the 97.5 % quantile.
+from the medians) are concentrated by two steps each: a step takes the share ``support`` of the group that is nearest by
+Mahalanobis distance and estimates mean and covariance anew. The start with the least determinant then goes on until
+its logarithm falls by no more than a hundredth, after six steps at most. Its covariance is made consistent for normal data, and estimated once more
+from all documents within the 97.5 % quantile.
 
 Every document has a verdict: estimates are made for a language and for all documents as well, and those of a group are
 drawn towards those of its language, and these towards those of all, by the weight ``prior`` against the group's rows.
@@ -14,11 +14,12 @@ A share of n units has a sampling error of 1 / (4 n) after the square root, a me
 words; these variances (``NOISE``), from a document's own counts, are added to its group's covariance. So the zeros that
 most documents have (symbols, repeats) don't make an outlier of every other short document, and no constant floor decides.
 
-All statistics are mergeable aggregates: a group with a third of all rows is summed map-side, and what is joined back is
-a few numbers for each group.
+All statistics are mergeable aggregates: a step sums the rows by group and class of distance (an eighth of the natural
+logarithm), so that it finds the nearest and their moments in one pass; a group with a third of all rows is summed
+map-side, and what is joined back is a few numbers for each group.
 
 Edge cases: null or empty text has zero words and fails the base rule; null lang or source is a group of its own; very
-long texts are counted whole; of equal distances at the support's border all are taken; starts of equal determinant give
+long texts are counted whole; of the class of distance at the support's border all are taken; starts of equal determinant give
 way to the first; rows that repeat count as often as they stand, and null doc_id is kept as a row; extra columns,
 whatever their names, are ignored or carried along (``keep``); an empty table gives an empty result.
 """
@@ -28,7 +29,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, materialize
@@ -52,6 +53,7 @@ FORMS = ("ln(n)", "ln(c / n)", "sqrt(n_symbols / c)", "sqrt(n_repeat_words / n)"
 #: Sampling variances of the forms. Word lengths vary by about half their mean; symbols come by words; a repeat has ten words at least, so that ten words are a unit.
 NOISE = ("0D", "0.25D / n", "0.25D / n", "2.5D / n", "0.25D / l")
 PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
+ESTIMATE = [f"m{i}" for i in range(5)] + [f"r{i}{j}" for i, j in PAIRS]
 ACCURACY = 2000
 
 
@@ -103,32 +105,37 @@ def _transformed(rows: DataFrame) -> DataFrame:
         return F.expr(form)
 
     rows = rows.withColumns({**dict(zip(STATS, map(spelt, FORMS))), **{f"u{i}": spelt(x) for i, x in enumerate(NOISE)}})
-    # Values, and which of them are null, so that null is a key of its own.
-    return rows.withColumns({"g0": F.lit("all"), "g1": F.to_json(F.struct("lang")), "g2": F.to_json(F.struct("lang", "source", F.lit(2).alias("level")))})
+    # Hashes skip null, so that what is null is hashed too.
+    return rows.withColumns({"g0": F.lit(0).cast("long"), "g1": F.expr("xxhash64(1, lang IS NULL, lang)"), "g2": F.expr("xxhash64(2, lang IS NULL, lang, source IS NULL, source)")})
 
 
-def _root(groups: DataFrame, noise: bool = True) -> DataFrame:
-    """Columns l_ij of the lower triangular root of the covariance c_ij, the noise u_i added, and the logarithm of its determinant."""
-    for j in range(5):
-        for i in range(j, 5):
-            own = f"c{i}{j} + u{i} + 1e-9D" if i == j else f"c{i}{j}"
-            rest = " - ".join([f"({own})"] + [f"l{i}{k} * l{j}{k}" for k in range(j)])
-            groups = groups.withColumn(f"l{i}{j}", F.expr(f"sqrt(greatest({rest}, 1e-12D))" if i == j else f"({rest}) / l{j}{j}"))
-    return groups.withColumn("det", F.expr(" + ".join(f"2 * ln(l{i}{i})" for i in range(5))))
+def _column(j: int) -> dict[str, F.Column]:
+    """Column j of the elimination of the covariance c_ij with the noise u_i added: r_ij, of which r_jj are the pivots."""
+    own = lambda i: f"c{i}{j} + u{i} + 1e-9D" if i == j else f"c{i}{j}"
+    rest = lambda i: " - ".join([own(i)] + [f"r{i}{k} * r{j}{k} / r{k}{k}" for k in range(j)])
+    return {f"r{i}{j}": F.expr(f"greatest({rest(i)}, 1e-12D)" if i == j else rest(i)) for i in range(j, 5)}
 
 
-def _distance(rows: DataFrame) -> DataFrame:
-    """rows (x_i, m_i, l_ij) with d2."""
-    for i in range(5):
-        solved = "".join(f" - l{i}{k} * y{k}" for k in range(i))
-        rows = rows.withColumn(f"y{i}", F.expr(f"(x{i} - m{i}{solved}) / l{i}{i}"))
-    return rows.withColumn("d2", F.expr(" + ".join(f"y{i} * y{i}" for i in range(5))))
+def _solved(j: int) -> dict[str, F.Column]:
+    """Entry j of the deviation from the means m_i, eliminated alike."""
+    return {f"y{j}": F.expr(" - ".join([f"x{j} - m{j}"] + [f"y{k} * r{j}{k} / r{k}{k}" for k in range(j)]))}
 
 
-def _moments(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)], *[(F.covar_pop(STATS[i], STATS[j]) * factor).alias(f"c{i}{j}") for i, j in PAIRS],
-    )
+D2 = " + ".join(f"y{i} * y{i} / r{i}{i}" for i in range(5))
+
+
+def _root(groups: DataFrame) -> DataFrame:
+    """groups with r_ij and the logarithm of the determinant. One projection for each column keeps the generated code small."""
+    for j in range(5):
+        groups = groups.withColumns(_column(j))
+    return groups.withColumn("det", F.expr(" + ".join(f"ln(r{i}{i})" for i in range(5))))
+
+
+def _distance(rows: DataFrame) -> DataFrame:
+    """rows (x_i, m_i, r_ij) with d2."""
+    for j in range(5):
+        rows = rows.withColumns(_solved(j))
+    return rows.withColumn("d2", F.expr(D2))
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -154,28 +161,41 @@ def _starts(rows: DataFrame) -> DataFrame:
     return found
 
 
-def mcd(rows: DataFrame, support: float = 0.75, most: int = 30) -> DataFrame:
-    """One row for each grp: n, u_i, means m_i and covariance c_ij. rows: grp, x_i and u_i."""
+def _concentrated(rows: DataFrame, groups: DataFrame, support: float) -> DataFrame:
+    """groups (grp, start, u_i, m_i, r_ij) after a step, with n, c_ij, the determinant and the one before."""
+    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", "start", *ESTIMATE), "grp"))
+    near = near.select("grp", "start", F.expr("cast(floor(8 * ln(greatest(d2, 1e-9D))) AS int)").alias("far"), *STATS)
+    sums = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(STATS)] + [F.sum(F.expr(f"x{i} * x{j}")).alias(f"s{i}{j}") for i, j in PAIRS]
+    by = Window.partitionBy("grp", "start")
+    classes = near.groupBy("grp", "start", "far").agg(*sums)
+    classes = classes.withColumns({"all": F.sum("n").over(by), "before": F.sum("n").over(by.orderBy("far").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")})
+    names = ["n"] + [f"s{i}" for i in range(5)] + [f"s{i}{j}" for i, j in PAIRS]
+    inside = classes.where(f"before < {support} * all").groupBy("grp", "start").agg(F.max("all").alias("all"), *[F.sum(x).alias(x) for x in names])
     factor = consistency(support)
-    noise = [f"u{i}" for i in range(5)]
+    moments = inside.select("grp", "start", F.col("all").alias("n"), *[F.expr(f"s{i} / n").alias(f"m{i}") for i in range(5)], *[
+        F.expr(f"{factor}D * (s{i}{j} / n - (s{i} / n) * (s{j} / n))").alias(f"c{i}{j}") for i, j in PAIRS
+    ])
+    return _root(moments.join(groups.select("grp", "start", F.col("det").alias("was"), *[f"u{i}" for i in range(5)]), ["grp", "start"]))
+
+
+def mcd(rows: DataFrame, support: float = 0.75, most: int = 6) -> DataFrame:
+    """One row for each grp: n, means m_i and covariance c_ij. rows: grp, x_i and u_i."""
     groups = materialize(_root(_starts(rows)), "mcd")
+    for _ in range(2):
+        groups = materialize(_concentrated(rows, groups, support), "mcd")
+    best = groups.groupBy("grp").agg(F.min(F.struct("det", "start")).alias("x")).select("grp", "x.start")
+    groups = materialize(groups.join(materialize(best, "best"), ["grp", "start"], "left_semi"), "mcd")
     for _ in range(most):
-        near = _distance(rows.select("grp", *STATS).join(groups, "grp")).select("grp", "start", "d2", *STATS)
-        cut = materialize(near.groupBy("grp", "start").agg(F.percentile_approx("d2", support, ACCURACY).alias("cut")), "cuts")
-        inside = near.join(cut, ["grp", "start"]).where("d2 <= cut")
-        again = _moments(inside, ["grp", "start"], factor).join(groups.select("grp", "start", F.col("det").alias("before"), *noise), ["grp", "start"])
-        again = materialize(_root(again), "mcd")
-        fell = again.where("before - det > 1e-6").isEmpty()
-        groups = again.drop("before")
-        if fell:
+        fell = materialize(_concentrated(rows, groups, support).where("was - det > 0.01"), "fell")
+        if fell.isEmpty():
             break
-    best = groups.groupBy("grp").agg(F.min(F.struct("det", "start")).alias("x")).select("grp", "x.start")
-    groups = materialize(groups.join(best, ["grp", "start"], "left_semi"), "best")
+        groups = materialize(groups.join(fell.select("grp"), "grp", "left_anti").unionByName(fell), "mcd")
     within = 0.975
-    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i, j in PAIRS]), "grp"))
-    near = near.where(f"d2 <= {chi_square_quantile(within, 5)}D").select("grp", *STATS)
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(_moments(near, ["grp"], consistency(within)).join(sizes, "grp"), "estimates")
+    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", *ESTIMATE), "grp")).where(f"d2 <= {chi_square_quantile(within, 5)}D")
+    moments = near.groupBy("grp").agg(
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)], *[(F.covar_pop(STATS[i], STATS[j]) * consistency(within)).alias(f"c{i}{j}") for i, j in PAIRS],
+    )
+    return materialize(moments.join(groups.select("grp", "n"), "grp"), "estimates")
 
 
 def _drawn(child: DataFrame, parent: DataFrame, on: str, prior: float) -> DataFrame:
@@ -197,14 +217,17 @@ def estimates(rows: DataFrame, support: float = 0.75, prior: float = 50.0) -> Da
     keys = F.explode(F.array("g0", "g1", "g2")).alias("grp")
     found = mcd(rows.where("NOT base_failed").select(keys, *STATS, *[f"u{i}" for i in range(5)]), support)
     named = materialize(rows.select("g0", "g1", "g2").distinct(), "groups")
-    whole = found.where("grp = 'all'").withColumnRenamed("grp", "key")
+    whole = found.where("grp = 0").withColumnRenamed("grp", "key")
     level = lambda key, on: named.select(F.col(key).alias("key"), F.col(on)).distinct().join(found.withColumnRenamed("grp", "key"), "key", "left")
     langs = _drawn(level("g1", "g0"), whole, "g0", prior)
     return materialize(_drawn(level("g2", "g1"), langs, "g1", prior).withColumnRenamed("key", "g2"), "drawn")
 
 
 def _judged(rows: DataFrame, groups: DataFrame, cutoff: float) -> DataFrame:
-    d = _distance(_root(rows.join(groups, "g2", "left")))
+    d = rows.join(groups, "g2", "left")
+    for j in range(5):
+        d = d.withColumns(_column(j)).withColumns(_solved(j))
+    d = d.withColumn("d2", F.expr(D2))
     return d.withColumn("distance", F.expr("sqrt(d2)")).withColumn("kept", F.expr(f"NOT base_failed AND coalesce(d2 <= {cutoff}D, true)"))
 
 

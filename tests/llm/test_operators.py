@@ -311,22 +311,27 @@ def brute_mcd(x, u, support=0.75):
     z = (x - mid) / np.sqrt(v + u.mean(axis=0) + 1e-9)
     ends = []
     dist = lambda m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    det = lambda c: np.linalg.slogdet(c + noise + tiny)[1]
+
+    def step(m, c):
+        far = np.floor(8 * np.log(np.maximum(dist(m, c + noise + tiny), 1e-9)))
+        inside = x[far <= pick(far, support)]
+        return inside.mean(axis=0), np.cov(inside.T, bias=True) * quality_rules.consistency(support)
+
     for form in (None, np.tanh(z), z / (np.linalg.norm(z, axis=1, keepdims=True) + 1e-9)):
         r = np.eye(5)
         if form is not None:
             with np.errstate(invalid="ignore"):
                 r = np.nan_to_num(np.corrcoef(form.T), nan=0.0)
             np.fill_diagonal(r, 1)
-        m, c = mid, r * np.sqrt(np.outer(v, v))
-        for _ in range(30):
-            before = np.linalg.slogdet(c + noise + tiny)[1]
-            d = dist(m, c + noise + tiny)
-            inside = x[d <= pick(d, support)]
-            m, c = inside.mean(axis=0), np.cov(inside.T, bias=True) * quality_rules.consistency(support)
-            if abs(before - np.linalg.slogdet(c + noise + tiny)[1]) < 1e-12:
-                break
-        ends.append((np.linalg.slogdet(c + noise + tiny)[1], len(ends), m, c))
-    _, _, m, c = min(ends, key=lambda e: (round(e[0], 9), e[1]))
+        m, c = step(*step(mid, r * np.sqrt(np.outer(v, v))))
+        ends.append((round(det(c), 9), len(ends), m, c))
+    _, _, m, c = min(ends, key=lambda e: e[:2])
+    while True:
+        new = step(m, c)
+        if det(c) - det(new[1]) <= 0.01:
+            break
+        m, c = new
     inside = x[dist(m, c + noise + tiny) <= quality_rules.chi_square_quantile(0.975, 5)]
     m, c = inside.mean(axis=0), np.cov(inside.T, bias=True) * quality_rules.consistency(0.975)
     return np.array([(r - m) @ np.linalg.inv(c + np.diag(n) + tiny) @ (r - m) for r, n in zip(x, u)])
