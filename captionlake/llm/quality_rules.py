@@ -54,7 +54,7 @@ FORMS = ("ln(n)", "ln(c / n)", "sqrt(n_symbols / c)", "sqrt(n_repeat_words / n)"
 NOISE = ("0D", "0.25D / n", "0.25D / n", "2.5D / n", "0.25D / l")
 PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
 ESTIMATE = [f"m{i}" for i in range(5)] + [f"r{i}{j}" for i, j in PAIRS]
-ACCURACY = 2000
+ACCURACY, MOST_BROADCAST = 2000, 200_000
 
 
 def chi_square(x: float, odd: int) -> float:
@@ -138,6 +138,11 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", F.expr(D2))
 
 
+def _by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows beside what their group has: by a broadcast up to MOST_BROADCAST rows of groups (some 50 MB), so that no group is one task; else by key."""
+    return rows.join(F.broadcast(groups) if groups.count() <= MOST_BROADCAST else groups, "grp")
+
+
 def _starts(rows: DataFrame) -> DataFrame:
     """(grp, start, u_i, m_i, c_ij): three first estimates for each group."""
     q = rows.groupBy("grp").agg(
@@ -147,7 +152,7 @@ def _starts(rows: DataFrame) -> DataFrame:
         F.expr(f"pow((q{i}[2] - q{i}[0]) / 1.349D, 2)").alias(f"v{i}") for i in range(5)
     ])
     q = materialize(q, "quartiles")
-    z = rows.select("grp", *STATS).join(q, "grp").select("grp", *[F.expr(f"(x{i} - m{i}) / sqrt(v{i} + u{i} + 1e-9D)").alias(f"z{i}") for i in range(5)])
+    z = _by_group(rows.select("grp", *STATS), q).select("grp", *[F.expr(f"(x{i} - m{i}) / sqrt(v{i} + u{i} + 1e-9D)").alias(f"z{i}") for i in range(5)])
     z = z.withColumn("size", F.expr("sqrt(" + " + ".join(f"z{i} * z{i}" for i in range(5)) + ") + 1e-9D"))
     z = z.select("grp", *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(5)], *[F.expr(f"z{i} / size").alias(f"s{i}") for i in range(5)])
     r = z.groupBy("grp").agg(*[F.covar_pop(f"{k}{i}", f"{k}{j}").alias(f"{k}{i}{j}") for k in "ts" for i, j in PAIRS])
@@ -163,7 +168,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def _concentrated(rows: DataFrame, groups: DataFrame, support: float) -> DataFrame:
     """groups (grp, start, u_i, m_i, r_ij) after a step, with n, c_ij, the determinant and the one before."""
-    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", "start", *ESTIMATE), "grp"))
+    near = _distance(_by_group(rows.select("grp", *STATS), groups.select("grp", "start", *ESTIMATE)))
     near = near.select("grp", "start", F.expr("cast(floor(8 * ln(greatest(d2, 1e-9D))) AS int)").alias("far"), *STATS)
     sums = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(STATS)] + [F.sum(F.expr(f"x{i} * x{j}")).alias(f"s{i}{j}") for i, j in PAIRS]
     by = Window.partitionBy("grp", "start")
@@ -191,7 +196,7 @@ def mcd(rows: DataFrame, support: float = 0.75, most: int = 6) -> DataFrame:
             break
         groups = materialize(groups.join(fell.select("grp"), "grp", "left_anti").unionByName(fell), "mcd")
     within = 0.975
-    near = _distance(rows.select("grp", *STATS).join(groups.select("grp", *ESTIMATE), "grp")).where(f"d2 <= {chi_square_quantile(within, 5)}D")
+    near = _distance(_by_group(rows.select("grp", *STATS), groups.select("grp", *ESTIMATE))).where(f"d2 <= {chi_square_quantile(within, 5)}D")
     moments = near.groupBy("grp").agg(
         *[F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS)], *[(F.covar_pop(STATS[i], STATS[j]) * consistency(within)).alias(f"c{i}{j}") for i, j in PAIRS],
     )
