@@ -39,6 +39,14 @@ def guard_reasons(error: Column, finish: Column, text: Column, speech_ms: Column
     )
 
 
+def mai_reasons(error: Column, http: Column, text: Column, expects_speech: Column) -> Column:
+    """Why a reply of the word-timing service must be tried again, in order, joined by '; '; empty if it is good."""
+    return F.concat_ws(
+        "; ", F.when(error != "", F.concat(F.lit("error: "), F.substring(error, 1, 80))), F.when(~http.eqNullSafe("200"), F.concat(F.lit("http="), http)),
+        F.when(expects_speech & (F.coalesce(text, F.lit("")) == ""), "empty despite speech present"),
+    )
+
+
 def locked(error: Column) -> Column:
     """An error that mentions 403 anywhere, also inside other numbers."""
     return F.contains(error, F.lit("403"))
@@ -152,6 +160,19 @@ def upsert(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     return old.join(n, key, "full_outer").select(key, F.coalesce("__new", value, F.lit("")).alias(value))
 
 
+def env_merge(lines: DataFrame, new: DataFrame) -> DataFrame:
+    """lines (ord, line) of a settings file with the values of new (k, v) in place; comments and other lines stay, unseen keys are added by name at the end."""
+    s = F.trim("line")
+    key = F.when((s != "") & ~F.startswith(s, F.lit("#")) & F.contains(s, F.lit("=")), F.trim(F.split(s, "=", 2)[0]))
+    old = lines.withColumn("key", key).join(new.select(F.col("k").alias("key"), F.col("v").alias("value")), "key", "left")
+    merged = old.select("ord", F.when(F.col("value").isNotNull(), F.concat_ws("=", "key", "value")).otherwise(F.col("line")).alias("line"))
+    added = new.join(lines.select(key.alias("k")).where("k IS NOT NULL").distinct(), "k", "left_anti")
+    last = lines.agg(F.coalesce(F.max("ord") + 1, F.lit(0).cast("long")).alias("last"))
+    # The keys to add are those of one settings change, a few.
+    added = added.select(F.row_number().over(Window.orderBy("k")).alias("o"), F.concat_ws("=", "k", "v").alias("line")).join(F.broadcast(last))
+    return merged.union(added.select((F.col("last") + F.col("o") - 1).alias("ord"), "line"))
+
+
 def progress(done: DataFrame) -> DataFrame:
     """done (job, ord, took_ms, ok) with counts so far and the time left, in whole milliseconds, at the mean so far."""
     w = Window.partitionBy("job").orderBy("ord")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from captionlake.functions.text import normalize_key
@@ -22,14 +22,20 @@ def build_pairs(transcripts: DataFrame, audio: DataFrame) -> DataFrame:
 
 
 def unpaired_report(pairs: DataFrame) -> DataFrame:
-    """(side, report): markdown lists of what has no partner."""
-
-    def listed(side: str, cond: str) -> DataFrame:
-        lines = F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda k: F.concat(F.lit("- "), k)), "\n")
-        got = pairs.where(cond).agg(lines.alias("report"))
-        return got.select(F.lit(side).alias("side"), F.when(F.coalesce("report", F.lit("")) == "", "- (none)").otherwise(F.col("report")).alias("report"))
-
-    return listed("transcript", "audio_ord IS NULL").union(listed("audio", "ord IS NULL"))
+    """(side, n, line): markdown lines of what has no partner, numbered by key within a side; a side without any has one line that says so.
+
+    Lines are rows, which a writer sorts by range; no side is gathered in one task. Numbers come from counts of keys by
+    their first sign and, within these, from a window.
+    """
+    rows = pairs.select(F.when(F.col("audio_ord").isNull(), "transcript").when(F.col("ord").isNull(), "audio").alias("side"), "key", F.coalesce("ord", "audio_ord").alias("o")).where("side IS NOT NULL")
+    rows = rows.withColumn("first", F.substring("key", 1, 2))
+    counts = rows.groupBy("side", "first").agg(F.count(F.lit(1)).alias("c"))
+    before = F.sum("c").over(Window.partitionBy("side").orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("c")
+    at = F.row_number().over(Window.partitionBy("side", "first").orderBy("key", "o"))
+    listed = rows.join(counts.select("side", "first", before.alias("before")), ["side", "first"]).select("side", (F.col("before") + at).cast("long").alias("n"), F.concat(F.lit("- "), F.col("key")).alias("line"))
+    sides = pairs.sparkSession.sql("SELECT * FROM VALUES ('transcript'), ('audio') AS t(side)")
+    none = sides.join(counts, "side", "left_anti").select("side", F.lit(1).cast("long").alias("n"), F.lit("- (none)").alias("line"))
+    return listed.union(none)
 
 
 def select_pairs(pairs: DataFrame, only: str | None = None, limit: int | None = None, sample: int | None = None, seed: int = 0) -> DataFrame:

@@ -60,7 +60,7 @@ def window_bounds(files: DataFrame, blank: DataFrame) -> DataFrame:
     """(file_id, k, frame, word): bounds of the windows of files (file_id, total, windows, n_words).
 
     Each inner grid point moves to the nearest centre of a blank run (file_id, a, b), ties to the earliest, and stays
-    where there is none. The runs on either side of a point are found by one sort of points and centres together.
+    where there is none. The runs on either side of a point are found by sorts of points and centres together, one for either direction.
     """
     points = files.where("windows > 1").select("file_id", F.explode(F.expr("sequence(1L, windows - 1L)")).alias("k"), "total", "windows")
     points = points.select("file_id", F.rint(F.col("total") * F.col("k") / F.col("windows")).cast("long").alias("t"), F.lit(True).alias("point"))
@@ -68,7 +68,8 @@ def window_bounds(files: DataFrame, blank: DataFrame) -> DataFrame:
     order = Window.partitionBy("file_id").orderBy("t", "point")
     centre = F.when(~F.col("point"), F.col("t"))
     d = points.union(centres).withColumn("x", F.last(centre, True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("y", F.first(centre, True).over(order.rowsBetween(0, Window.unboundedFollowing))).where("point")
+    back = Window.partitionBy("file_id").orderBy(F.col("t").desc(), F.col("point").desc())
+    d = d.withColumn("y", F.last(centre, True).over(back.rowsBetween(Window.unboundedPreceding, 0))).where("point")
     near = F.when(F.col("y").isNull() | (F.col("t") - F.col("x") <= F.col("y") - F.col("t")), F.col("x")).otherwise(F.col("y"))
     inner = d.select("file_id", F.coalesce(near, F.col("y"), F.col("t")).alias("frame"))
     inner = inner.join(files.select("file_id", "total"), "file_id").where("frame > 0 AND frame < total").select("file_id", "frame")

@@ -36,9 +36,10 @@ def labels(energy: DataFrame, cfg: PolarityConfig = POLARITY) -> DataFrame:
 def fill_silence(labelled: DataFrame) -> DataFrame:
     """Seconds without signal take the nearest label; two that differ at one distance, or none, give 0."""
     w = Window.partitionBy("file_id").orderBy("second")
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    behind = (Window.unboundedPreceding, -1)
     known = F.when(F.col("label") >= 0, F.struct("second", "label"))
-    d = labelled.withColumn("x", F.last(known, True).over(back)).withColumn("y", F.first(known, True).over(ahead))
+    d = labelled.withColumn("x", F.last(known, True).over(w.rowsBetween(*behind)))
+    d = d.withColumn("y", F.last(known, True).over(Window.partitionBy("file_id").orderBy(F.col("second").desc()).rowsBetween(*behind)))
     dx, dy = F.col("second") - F.col("x.second"), F.col("y.second") - F.col("second")
     near = F.when(dy.isNull() | (dx < dy), F.col("x.label")).when(dx.isNull() | (dy < dx), F.col("y.label")).when(F.col("x.label") == F.col("y.label"), F.col("x.label"))
     return d.withColumn("label", F.when(F.col("label") >= 0, F.col("label")).otherwise(F.coalesce(near, F.lit(0)))).drop("x", "y")

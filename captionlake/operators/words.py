@@ -20,13 +20,14 @@ def fill_times(words: DataFrame) -> DataFrame:
 
     In a run of untimed words after a word that ends at p and before one that starts at x: the first takes [p,
     max(p + 50, x)], every later one starts where its predecessor ends at first, less 50, and ends 50 later; without x each lasts 300.
-    One sort by file and position serves all windows.
+    Two sorts by file and position, forwards and backwards, serve all windows; both frames grow with the row.
     """
     w = _file()
     timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
     d = words.withColumn("timed", timed)
     d = d.withColumn("p", F.coalesce(F.last(F.when(F.col("timed"), F.col("end_ms")), True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.withColumn("x", F.first(F.when(F.col("timed"), F.col("start_ms")), True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    back = Window.partitionBy("file_id").orderBy(F.col("pos").desc())  # read backwards, the next timed word is the last one seen
+    d = d.withColumn("x", F.last(F.when(F.col("timed"), F.col("start_ms")), True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
     d = d.withColumn("island", F.sum(F.col("timed").cast("int")).over(w.rowsBetween(*UP)))
     r = F.row_number().over(Window.partitionBy("file_id", "island").orderBy("pos")) - F.when(F.col("island") > 0, 1).otherwise(0)
     d = d.withColumn("r", r).withColumn("e1", F.greatest(F.col("p") + 50, F.col("x")))

@@ -35,9 +35,11 @@ def q_vad_summary(spark, d):
     )
 
 
+#: Speech cut at multiples of ten minutes, so that the grid is met by key.
 GRID = SPEECH + """,
 gr AS (SELECT file_id, k, k * 600000 AS start_ms, (k + 1) * 600000 AS end_ms FROM (SELECT DISTINCT file_id FROM speech), (SELECT unnest(range(0, 72)) AS k)),
-ov AS (SELECT g.file_id, g.k, CAST(sum(least(g.end_ms, s.end_ms) - greatest(g.start_ms, s.start_ms)) AS BIGINT) AS v FROM gr g JOIN speech s ON s.file_id = g.file_id AND s.start_ms < g.end_ms AND s.end_ms > g.start_ms GROUP BY ALL)"""
+cut AS (SELECT file_id, start_ms, end_ms, unnest(range(start_ms // 600000, (end_ms - 1) // 600000 + 1)) AS k FROM speech WHERE end_ms > start_ms),
+ov AS (SELECT file_id, k, CAST(sum(least((k + 1) * 600000, end_ms) - greatest(k * 600000, start_ms)) AS BIGINT) AS v FROM cut GROUP BY ALL)"""
 
 
 def grid(spark, d):
@@ -107,71 +109,75 @@ def q_window_bounds(spark, d):
 
 
 def energy(spark, d):
-    s = stereo(spark, d).select(F.lit(0).cast("long").alias("file_id"), "second", F.explode(F.arrays_zip("l", "r")).alias("x")).select("file_id", "second", "x.l", "x.r")
+    s = stereo(spark, d).select("file_id", "second", F.explode(F.arrays_zip("l", "r")).alias("x")).select("file_id", "second", "x.l", "x.r")
     return PO.second_energy(s)
 
 
 def blocks(spark, d):
-    """(file_id, block, energy) of 20 blocks a second."""
-    s = stereo(spark, d).select("second", F.posexplode(F.slice(F.arrays_zip("l", "r"), 1, 20)).alias("k", "x"))
-    rows = s.select(F.lit(0).cast("long").alias("file_id"), (F.col("second") * 20 + F.col("k")).alias("block"), "x.l", "x.r")
+    """(file_id, block, energy) of 20 blocks a second, over which all samples are dealt."""
+    s = stereo(spark, d).select("file_id", "second", F.posexplode(F.arrays_zip("l", "r")).alias("k", "x"))
+    rows = s.select("file_id", F.expr("second * 20 + k * 20 div 32").alias("block"), "x.l", "x.r")
     return PO.block_energy(rows)
 
 
 DB = lambda x: f"10 * log10({x} + 1e-12)"
 LABEL = STEREO + f""",
-lab AS (SELECT second, CASE WHEN greatest({DB('l')}, {DB('r')}) >= -50 THEN CASE WHEN {DB('diff')} >= {DB('mix')} + 6 THEN 1 ELSE 0 END ELSE -1 END AS label, greatest({DB('l')}, {DB('r')}) AS louder, {DB('mix')} AS m FROM energy)"""
+lab AS (SELECT file_id, second, CASE WHEN greatest({DB('l')}, {DB('r')}) >= -50 THEN CASE WHEN {DB('diff')} >= {DB('mix')} + 6 THEN 1 ELSE 0 END ELSE -1 END AS label, greatest({DB('l')}, {DB('r')}) AS louder, {DB('mix')} AS m FROM energy)"""
 
 
-@query("WITH " + STEREO + " SELECT second, CAST(round(l * 1e6) AS BIGINT) AS l, CAST(round(r * 1e6) AS BIGINT) AS r, CAST(round(mix * 1e6) AS BIGINT) AS mix, CAST(round(diff * 1e6) AS BIGINT) AS diff FROM energy")
+@query("WITH " + STEREO + " SELECT file_id, second, CAST(round(l * 1e6) AS BIGINT) AS l, CAST(round(r * 1e6) AS BIGINT) AS r, CAST(round(mix * 1e6) AS BIGINT) AS mix, CAST(round(diff * 1e6) AS BIGINT) AS diff FROM energy")
 def q_stereo_energy(spark, d):
     part = lambda c: F.round(F.col(c) * 1e6).cast("long").alias(c)
-    return energy(spark, d).select("second", part("l"), part("r"), part("mix"), part("diff"))
+    return energy(spark, d).select("file_id", "second", part("l"), part("r"), part("mix"), part("diff"))
 
 
-@query("WITH " + LABEL + " SELECT second, label FROM lab")
+@query("WITH " + LABEL + " SELECT file_id, second, label FROM lab")
 def q_polarity_labels(spark, d):
-    return PO.labels(energy(spark, d)).select("second", "label")
+    return PO.labels(energy(spark, d)).select("file_id", "second", "label")
 
 
 SECT = LABEL + """,
-kn AS (SELECT second, label FROM lab WHERE label >= 0),
-fl AS (SELECT l.second, CASE WHEN l.label >= 0 THEN l.label ELSE (
-  SELECT CASE WHEN count(*) = 0 THEN 0 WHEN min(label) = max(label) THEN min(label) ELSE 0 END FROM kn WHERE abs(kn.second - l.second) = (SELECT min(abs(k2.second - l.second)) FROM kn k2)) END AS label FROM lab l),
-r1 AS (SELECT second, second - row_number() OVER (ORDER BY second) AS g FROM fl WHERE label = 1),
-r2 AS (SELECT min(second) AS a, max(second) + 1 AS b FROM r1 GROUP BY g),
-r3 AS (SELECT *, CASE WHEN a - lag(b) OVER (ORDER BY a) >= 3 THEN 1 ELSE 0 END AS new FROM r2),
-r4 AS (SELECT *, sum(new) OVER (ORDER BY a) AS g FROM r3),
-r5 AS (SELECT min(a) AS a, max(b) AS b FROM r4 GROUP BY g HAVING max(b) - min(a) >= 5)"""
-
-
-@query("WITH " + SECT + " SELECT CAST(CASE WHEN a = 0 THEN 0 ELSE a * 1000 END AS BIGINT) AS start_ms, CAST(CASE WHEN b < (SELECT max(second) + 1 FROM lab) THEN b * 1000 END AS BIGINT) AS end_ms FROM r5")
+kn AS (SELECT file_id, second, label FROM lab WHERE label >= 0),
+fl AS (SELECT l.file_id, l.second, CASE WHEN l.label >= 0 THEN l.label ELSE (
+  SELECT CASE WHEN count(*) = 0 THEN 0 WHEN min(label) = max(label) THEN min(label) ELSE 0 END FROM kn WHERE kn.file_id = l.file_id AND abs(kn.second - l.second) = (SELECT min(abs(k2.second - l.second)) FROM kn k2 WHERE k2.file_id = l.file_id)) END AS label FROM lab l),
+r1 AS (SELECT file_id, second, second - row_number() OVER (PARTITION BY file_id ORDER BY second) AS g FROM fl WHERE label = 1),
+r2 AS (SELECT file_id, min(second) AS a, max(second) + 1 AS b FROM r1 GROUP BY file_id, g),
+r3 AS (SELECT *, CASE WHEN a - lag(b) OVER (PARTITION BY file_id ORDER BY a) >= 3 THEN 1 ELSE 0 END AS new FROM r2),
+r4 AS (SELECT *, sum(new) OVER (PARTITION BY file_id ORDER BY a) AS g FROM r3),
+r5 AS (SELECT file_id, min(a) AS a, max(b) AS b FROM r4 GROUP BY file_id, g HAVING max(b) - min(a) >= 5),
+ln AS (SELECT file_id, max(second) + 1 AS n FROM lab GROUP BY file_id)"""
+SEAMS = SECT + """, ed AS (SELECT file_id, a AS second FROM r5 UNION SELECT file_id, b FROM r5),
+bk AS (SELECT file_id, second * 20 + (k - 1) * 20 // 32 AS block, avg(((x * a) * (x * a) + (x * a * s) * (x * a * s)) / 2) AS en FROM (SELECT file_id, second, a, s, unnest(e)::DOUBLE AS x, generate_subscripts(e, 1) AS k FROM st) GROUP BY 1, 2),
+bs AS (SELECT ed.file_id, second, arg_min(block, (en, block)) AS block FROM ed JOIN bk ON bk.file_id = ed.file_id AND block >= greatest((second - 1) * 20, 0) AND block < (second + 1) * 20 GROUP BY ALL),
+sm AS (SELECT file_id, second, CAST((2 * block + 1) * 50 // 2 AS BIGINT) AS seam_ms FROM bs)"""
+
+
+@query("WITH " + SECT + " SELECT file_id, CAST(CASE WHEN a = 0 THEN 0 ELSE a * 1000 END AS BIGINT) AS start_ms, CAST(CASE WHEN b < n THEN b * 1000 END AS BIGINT) AS end_ms FROM r5 JOIN ln USING (file_id)")
 def q_polarity_sections(spark, d):
-    return PO.sections(energy(spark, d)).select("start_ms", "end_ms")
+    return PO.sections(energy(spark, d)).select("file_id", "start_ms", "end_ms")
 
 
-@query("WITH " + SECT + """, ed AS (SELECT a AS second FROM r5 UNION SELECT b FROM r5),
-bk AS (SELECT second * 20 + k - 1 AS block, ((x * a) * (x * a) + (x * a * s) * (x * a * s)) / 2 AS en FROM (SELECT second, a, s, unnest(e[1:20])::DOUBLE AS x, generate_subscripts(e[1:20], 1) AS k FROM st)),
-bs AS (SELECT second, arg_min(block, (en, block)) AS block FROM ed JOIN bk ON block >= greatest((second - 1) * 20, 0) AND block < (second + 1) * 20 GROUP BY second)
-SELECT second, CAST((2 * block + 1) * 50 // 2 AS BIGINT) AS seam_ms FROM bs""")
+@query("WITH " + SEAMS + " SELECT * FROM sm")
 def q_polarity_seams(spark, d):
     s = PO.smooth(PO.fill_silence(PO.labels(energy(spark, d))))
     edges = s.select("file_id", F.explode(F.array("a", "b")).alias("second")).distinct()
-    return PO.seams(edges, blocks(spark, d)).select("second", "seam_ms")
+    return PO.seams(edges, blocks(spark, d)).select("file_id", "second", "seam_ms")
 
 
-@query("WITH " + LABEL + """, sg AS (SELECT *, row_number() OVER (ORDER BY second) AS k FROM lab WHERE louder >= -50), bd AS (SELECT *, k - row_number() OVER (ORDER BY k) AS g FROM sg WHERE m <= louder - 10)
-SELECT min(second) AS a, max(second) + 1 AS b FROM bd GROUP BY g HAVING count(*) >= 5""")
+@query("WITH " + LABEL + """, sg AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY second) AS k FROM lab WHERE louder >= -50), bd AS (SELECT *, k - row_number() OVER (PARTITION BY file_id ORDER BY k) AS g FROM sg WHERE m <= louder - 10)
+SELECT file_id, min(second) AS a, max(second) + 1 AS b FROM bd GROUP BY file_id, g HAVING count(*) >= 5""")
 def q_cancelled(spark, d):
-    return PO.cancelled(energy(spark, d)).select("a", "b")
+    return PO.cancelled(energy(spark, d)).select("file_id", "a", "b")
 
 
-@query("WITH " + LABEL + ", x AS (SELECT second // 30 AS win, avg(mix) AS p FROM energy GROUP BY 1) SELECT win, CAST(round(200 * log10(sqrt(p) + 1e-9)) AS BIGINT) AS tenth_db FROM x")
+@query("WITH " + LABEL + ", x AS (SELECT file_id, second // 30 AS win, avg(mix) AS p FROM energy GROUP BY 1, 2) SELECT file_id, win, CAST(round(200 * log10(sqrt(p) + 1e-9)) AS BIGINT) AS tenth_db FROM x")
 def q_loudness(spark, d):
-    e = energy(spark, d).groupBy(F.expr("second div 30").alias("win")).agg(F.avg("mix").alias("p"))
-    return e.select("win", F.round(200 * F.log10(F.sqrt("p") + 1e-9)).cast("long").alias("tenth_db"))
+    e = energy(spark, d).groupBy("file_id", F.expr("second div 30").alias("win")).agg(F.avg("mix").alias("p"))
+    return e.select("file_id", "win", F.round(200 * F.log10(F.sqrt("p") + 1e-9)).cast("long").alias("tenth_db"))
 
 
-@query()
+@query("WITH " + SEAMS + """, se AS (SELECT r5.file_id, CASE WHEN a = 0 THEN 0 ELSE x.seam_ms END AS f, CASE WHEN b < n THEN y.seam_ms END AS t FROM r5 JOIN ln USING (file_id) JOIN sm x ON x.file_id = r5.file_id AND x.second = a LEFT JOIN sm y ON y.file_id = r5.file_id AND y.second = b),
+te AS (SELECT file_id, f, CASE WHEN f <= 0 THEN '1' ELSE 'clip((n/s-(' || format('{:.3f}', f / 1000 - 0.01) || '))/0.02,0,1)' END || '*' || CASE WHEN t IS NULL THEN '1' ELSE 'clip(((' || format('{:.3f}', t / 1000 + 0.01) || ')-n/s)/0.02,0,1)' END AS term FROM se)
+SELECT file_id, 'aeval=exprs=''val(0)|val(1)*(1-2*(' || string_agg(term, '+' ORDER BY f, term) || '))'',pan=stereo|c0=c0|c1=c1' AS filter FROM te GROUP BY file_id""")
 def q_flip_filter(spark, d):
     return PO.flip_filter(PO.sections(energy(spark, d), blocks(spark, d)))

@@ -61,7 +61,7 @@ def q_semi_delete_list(spark, d):
 
 
 @query("WITH " + PAIRS + """, x AS (SELECT 'transcript' AS side, key FROM pairs WHERE audio_ord IS NULL UNION ALL SELECT 'audio', key FROM pairs WHERE ord IS NULL)
-SELECT s AS side, coalesce((SELECT string_agg('- ' || key, chr(10) ORDER BY key) FROM x WHERE side = s), '- (none)') AS report FROM (VALUES ('transcript'), ('audio')) t(s)""")
+SELECT side, row_number() OVER (PARTITION BY side ORDER BY key) AS n, '- ' || key AS line FROM x UNION ALL SELECT s, 1, '- (none)' FROM (VALUES ('transcript'), ('audio')) t(s) WHERE s NOT IN (SELECT side FROM x)""")
 def q_unpaired_report(spark, d):
     return P.unpaired_report(pairs(spark, d))
 
@@ -327,3 +327,26 @@ def q_kv_upsert(spark, d):
 def q_nan_to_null(spark, d):
     bad = F.when(F.col("event_id") % 4 == 0, F.lit(float("nan"))).when(F.col("event_id") % 4 == 1, F.lit(float("inf"))).otherwise(F.col("value"))
     return S.finite(src(spark, d, "events").select("event_id", bad.alias("value")))
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'error' THEN '502' WHEN event_type = 'signup' THEN '403' ELSE '200' END AS http, CASE WHEN event_type IN ('view', 'click') THEN repeat('w ', CAST(floor(value) AS BIGINT) % 7 + 1)[1:-2] ELSE '' END AS text,
+CASE WHEN event_type IN ('view', 'click') THEN event_id % 7 / 8.0::DOUBLE END AS cost, CASE WHEN event_type = 'error' THEN 'error: body is not JSON: <html>' || event_id || '; http=502; empty despite speech present' WHEN event_type = 'signup' THEN 'error: {"code":403,"message":"' || repeat('m', 57) || '; http=403; empty despite speech present' WHEN event_type = 'purchase' THEN 'empty despite speech present' ELSE '' END AS reasons FROM events""")
+def q_mai_replies(spark, d):
+    """Replies of the word-timing service, parsed, and why each must be tried again."""
+    kind, n = F.col("event_type"), F.floor("value").cast("int") % 7 + 1
+    good = F.to_json(F.struct(F.concat(F.lit(" "), F.repeat(F.lit("w "), n)).alias("text"), F.struct((F.col("event_id") % 7 / 8.0).alias("cost")).alias("usage")))
+    body = F.when(kind == "error", F.concat(F.lit("<html>"), F.col("event_id").cast("string"))).when(kind == "signup", F.concat(F.lit('{"error": {"code": 403, "message": "'), F.repeat(F.lit("m"), F.lit(400)), F.lit('"}}')))
+    body = body.when(kind == "purchase", '{"text": ""}').otherwise(good)
+    code = F.when(kind == "error", "502").when(kind == "signup", "403").otherwise("200")
+    r = R.mai_replies(src(spark, d, "events").select(F.col("event_id").alias("file_id"), F.concat(body, F.lit("|HTTP"), code).alias("reply")))
+    return r.select(F.col("file_id").alias("event_id"), "http", "text", "cost", M.mai_reasons(F.col("error"), F.col("http"), F.col("text"), F.lit(True)).alias("reasons"))
+
+
+@query("WITH " + ENV + """, l AS (SELECT event_id AS ord, CASE WHEN event_type = 'view' THEN '# comment' ELSE 'KEY_' || user_id % 50 || '=' || event_id || '=x' END AS line, CASE WHEN event_type <> 'view' THEN 'KEY_' || user_id % 50 END AS k FROM events),
+n AS (SELECT 'KEY_' || n_nationkey * 3 AS k, 'v' || n_nationkey AS v FROM nation)
+SELECT ord, CASE WHEN v IS NULL THEN line ELSE l.k || '=' || v END AS line FROM l LEFT JOIN n ON n.k = l.k
+UNION ALL SELECT (SELECT max(ord) FROM l) + row_number() OVER (ORDER BY k), k || '=' || v FROM n WHERE k NOT IN (SELECT k FROM l WHERE k IS NOT NULL)""")
+def q_env_merge(spark, d):
+    """A settings file with new values in place, comments kept, unseen keys at the end."""
+    n = src(spark, d, "nation").select(F.concat(F.lit("KEY_"), (F.col("n_nationkey") * 3).cast("string")).alias("k"), F.concat(F.lit("v"), F.col("n_nationkey").cast("string")).alias("v"))
+    return M.env_merge(env_lines(spark, d), n)

@@ -43,6 +43,41 @@ def plan_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PLAN_JSON).option("mode", "PERMISSIVE").json(path, multiLine=True)
 
 
+def manifest_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).csv(path, header=True)
+
+
+def trace_json(spark: SparkSession, path: str) -> DataFrame:
+    """(path, chunks) of run traces; chunks is null where a file is broken."""
+    kind = "chunks array<struct<idx: bigint, outcome: string, tries: array<struct<n: bigint, outcome: string, detail: string>>>>"
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(F.input_file_name().alias("path"), "value")
+    return raw.select("path", F.from_json("value", kind)["chunks"].alias("chunks"))
+
+
+def mai_replies(replies: DataFrame) -> DataFrame:
+    """(file_id, http, text, words, duration, language, cost, seconds, error) from replies (file_id, reply): a JSON body and a trailer |HTTP<code>.
+
+    What stands behind the last trailer mark is the code. A body that is no JSON, or holds an error, gives no text and no
+    words, and an error of at most 200 or 300 characters.
+    """
+    word = "array<struct<word: string, start: double, end: double>>"
+    kind = f"text string, words {word}, duration double, language string, usage struct<cost: double, seconds: double>"
+    mark = F.lit("|HTTP")
+    body = F.when(F.contains("reply", mark), F.substring_index("reply", "|HTTP", -1)).otherwise(F.col("reply"))
+    d = replies.withColumns({"tail": body, "marked": F.contains("reply", mark)})
+    d = d.withColumn("body", F.when(F.col("marked"), F.expr("left(reply, length(reply) - length(tail) - 5)")).otherwise("")).withColumn("http", F.trim("tail"))
+    d = d.withColumns({"x": F.from_json("body", kind), "whole": F.try_parse_json("body")})
+    told = F.get_json_object("body", "$.error")
+    error = F.when(F.col("whole").isNull(), F.concat(F.lit("body is not JSON: "), F.substring("body", 1, 200))).when(~told.isin("", "null", "false", "0", "{}", "[]"), F.substring(told, 1, 300))
+    d = d.withColumn("error", error)
+    good = lambda c, other: F.when(F.col("error").isNull(), F.coalesce(c, other)).otherwise(other)
+    none = F.expr(f"cast(array() AS {word})")
+    return d.select(
+        "file_id", "http", good(F.trim("x.text"), F.lit("")).alias("text"), good(F.col("x.words"), none).alias("words"), good(F.col("x.duration"), F.lit(None)).alias("duration"),
+        good(F.col("x.language"), F.lit(None)).alias("language"), good(F.col("x.usage.cost"), F.lit(None)).alias("cost"), good(F.col("x.usage.seconds"), F.lit(None)).alias("seconds"), "error",
+    )
+
+
 def sse_replies(lines: DataFrame) -> DataFrame:
     """(file_id, content, model, finish, errors) from lines (file_id, ord, line) of event streams.
 

@@ -1,9 +1,11 @@
-"""Streams: stages of running jobs from their logs, energies of audio samples."""
+"""Streams: stages of running jobs from their logs, replies as they arrive, energies of audio samples and of raw sound."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from captionlake.operators.manifest import log_stage
 
+REPLY = "file_id long, content string, model string, finish string, lines long"
+ENERGY = "file_id long, second long, l double, r double, mix double, diff double, blocks array<double>"
 STATUS = "job long, status string, stage string, lines long"
 
 
@@ -45,3 +49,61 @@ def sample_energy(samples: DataFrame, late: str = "10 seconds") -> DataFrame:
     return samples.withWatermark("ts", late).groupBy("file_id", F.window("ts", "1 second").alias("w")).agg(
         square(l).alias("l"), square(r).alias("r"), square((l + r) / 2).alias("mix"), square((l - r) / 2).alias("diff")
     )
+
+
+def sse_fold(lines: DataFrame) -> DataFrame:
+    """Replies (file_id, content, model, finish, lines) so far from a stream of event lines (file_id, ord, line), which arrive in order.
+
+    Only data lines count; empty, [DONE] and broken ones are skipped. The state is the reply itself.
+    """
+
+    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        content, model, finish, lines_ = state.get if state.exists else ("", None, None, 0)
+        for pdf in batches:
+            for line in pdf.sort_values("ord")["line"]:
+                try:
+                    event = json.loads(line[5:]) if line.startswith("data:") else None
+                except ValueError:
+                    continue
+                if not isinstance(event, dict):
+                    continue
+                choice = (event.get("choices") or [{}])[0]
+                content += (choice.get("delta") or {}).get("content") or ""
+                model, finish = event.get("model") or model, choice.get("finish_reason") or finish
+                lines_ += 1
+        state.update((content, model, finish, lines_))
+        yield pd.DataFrame([(key[0], content, model, finish, lines_)], columns=[x.split()[0] for x in REPLY.split(", ")])
+
+    return lines.groupBy("file_id").applyInPandasWithState(fold, REPLY, REPLY.split(", ", 1)[1], "update", GroupStateTimeout.NoTimeout)
+
+
+def pcm_energy(sound: DataFrame, rate: int = 8000, per_sec: int = 20) -> DataFrame:
+    """Energies of whole seconds, and of their `per_sec` blocks, from a stream (file_id, ord, bytes) of interleaved 16-bit stereo cut anywhere.
+
+    What is left of a second, down to parts of a sample, is the state: less than a second of sound for each file.
+    """
+    size = 4 * rate
+
+    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        second, rest = state.get if state.exists else (0, b"")
+        parts = pd.concat(list(batches)).sort_values("ord")["bytes"]
+        data = bytes(rest) + b"".join(map(bytes, parts))
+        rows = []
+        for at in range(0, len(data) - size + 1, size):
+            x = np.frombuffer(data, "<i2", 2 * rate, at).reshape(-1, 2) / 32768.0
+            l, r = x.T  # noqa: E741
+            mean = lambda v: float(np.mean(v * v))
+            rows.append((key[0], second, mean(l), mean(r), mean((l + r) / 2), mean((l - r) / 2), (x * x).reshape(per_sec, -1).mean(axis=1).tolist()))
+            second += 1
+        state.update((second, data[len(data) // size * size :]))
+        yield pd.DataFrame(rows, columns=[x.split()[0] for x in ENERGY.split(", ")])
+
+    return sound.groupBy("file_id").applyInPandasWithState(fold, ENERGY, "second long, rest binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def replay_then_live(log: DataFrame, live: DataFrame) -> DataFrame:
+    """Lines (job, ord, line) of the log, then of live (a stream or a table) that the log doesn't have; a job whose log has ended gets none."""
+    known = log.select("job", "ord").distinct()
+    ended = log.where(F.startswith("line", F.lit("[exit ")) | (F.col("line") == "[stop]")).select("job").distinct()
+    new = live.join(ended, "job", "left_anti").join(known, ["job", "ord"], "left_anti")
+    return log.select("job", "ord", "line").union(new.select("job", "ord", "line"))

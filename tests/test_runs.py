@@ -54,7 +54,9 @@ def test_pairs(spark):
     a = spark.createDataFrame([(5, "dung roi"), (4, "Dung Roi"), (6, "unused")], "ord long, title string")
     got = sorted(((r.ord, r.audio_ord) for r in P.build_pairs(t, a).collect()), key=str)
     assert got == sorted([(0, 4), (1, 4), (2, None), (None, 6)], key=str)
-    assert {r.side: r.report for r in P.unpaired_report(P.build_pairs(t, a)).collect()} == {"transcript": "- alone", "audio": "- unused"}
+    assert {(r.side, r.n, r.line) for r in P.unpaired_report(P.build_pairs(t, a)).collect()} == {("transcript", 1, "- alone"), ("audio", 1, "- unused")}
+    more = P.build_pairs(spark.createDataFrame([(k, f"{x}{k % 3}") for k, x in enumerate("badcabdc")], "ord long, title string"), a.limit(0))
+    assert [(r.side, r.n, r.line) for r in P.unpaired_report(more).orderBy("side", "n").collect()] == [("audio", 1, "- (none)"), *(("transcript", n, f"- {x}") for n, x in enumerate(sorted(f"{x}{k % 3}" for k, x in enumerate("badcabdc")), 1))]
     assert P.select_pairs(P.build_pairs(t, a), sample=2, seed=1).count() == 2
 
 
@@ -113,3 +115,80 @@ def test_threshold():
     for bad in ("0", "1.1", "nan", "inf", "x", "0,,5"):
         with pytest.raises(ValueError):
             parse_threshold(bad)
+
+
+def test_mai_replies(spark):
+    rows = [
+        (1, '{"text": " hi there ", "duration": 2.5, "language": "vi", "words": [{"word": "hi", "start": 0.1, "end": 0.4}, {"word": "there", "start": 0.5, "end": 0.9}], "usage": {"cost": 0.25, "seconds": 3.0}}\n|HTTP200'),
+        (2, '{"error": {"code": 403, "message": "' + "m" * 400 + '"}}\n|HTTP403'), (3, "<html>|HTTP|HTTP502"), (4, '{"text": ""}\n|HTTP200'), (5, ""),
+    ]
+    d = R.mai_replies(spark.createDataFrame(rows, "file_id long, reply string"))
+    got = {r.file_id: r for r in d.collect()}
+    assert (got[1].text, got[1].http, got[1].cost, got[1].seconds, got[1].error) == ("hi there", "200", 0.25, 3.0, None) and [w.word for w in got[1].words] == ["hi", "there"]
+    assert got[2].http == "403" and len(got[2].error) == 300 and got[2].error.startswith('{"code":') and got[2].text == ""
+    assert got[3].http == "502" and got[3].error == "body is not JSON: <html>|HTTP" and got[4].error is None and got[5].error == "body is not JSON: "
+    why = {r.file_id: r.reasons for r in d.select("file_id", M.mai_reasons(F.col("error"), F.col("http"), F.col("text"), F.lit(True)).alias("reasons")).collect()}
+    assert why[1] == "" and why[4] == "empty despite speech present" and why[3] == "error: body is not JSON: <html>|HTTP; http=502; empty despite speech present"
+    assert why[2].split("; ")[0] == "error: " + got[2].error[:80]
+
+
+def test_env_merge(spark):
+    lines = ["# keys", " A = 1 ", "", "B=x=y", "#C=3", "plain", "A=2"]
+    old = spark.createDataFrame(list(enumerate(lines)), "ord long, line string")
+    new = spark.createDataFrame([("A", "9"), ("C", "new"), ("D", "")], "k string, v string")
+    got = [r.line for r in M.env_merge(old, new).orderBy("ord").collect()]
+    assert got == ["# keys", "A=9", "", "B=x=y", "#C=3", "plain", "A=9", "C=new", "D="]
+    assert [r.line for r in M.env_merge(old.limit(0), new).orderBy("ord").collect()] == ["A=9", "C=new", "D="]
+
+
+def test_diff_page(spark):
+    words = lambda t: [(1, k, w) for k, w in enumerate(t.split())]
+    a, b = (spark.createDataFrame(words(t), "file_id long, pos long, w string") for t in ("a b c d e f g h", "a x c d 1 2 3 4 & h"))
+    blocks = Q.pass_diff(a, b)
+    rows = [r.html for r in Q.diff_rows_html(blocks).orderBy("k").collect()]
+    assert [r.split('"')[1] for r in rows] == ["eq", "minor", "eq", "major", "eq"]
+    assert '<tr class="major" id="d1"><td class="a"><span class="badge">1</span>' in rows[3] and "&amp;" in rows[3]
+    nav = Q.diff_nav(blocks).collect()
+    assert [(r.file_id, r.major, r.nav) for r in nav] == [(1, 1, '<a href="#d1">1</a>')]
+
+
+def test_traces(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"chunks": [{"idx": 1, "outcome": "merged", "tries": [{"n": 1, "outcome": "ok"}]}]}))
+    (tmp_path / "b.json").write_text('{"chunks": [')
+    got = {r.path.rsplit("/", 1)[1]: r.chunks for r in R.trace_json(spark, str(tmp_path)).collect()}
+    assert got["b.json"] is None and [(c.idx, c.outcome, c.tries[0].outcome) for c in got["a.json"]] == [(1, "merged", "ok")]
+    S.write_manifest(spark.createDataFrame([("x", "ok", 3)], "file string, status string, words long"), str(tmp_path / "m"))
+    assert [tuple(r) for r in R.manifest_csv(spark, str(tmp_path / "m"), "file string, status string, words long").collect()] == [("x", "ok", 3)]
+
+
+def test_streams(spark, tmp_path):
+    """Replies folded from a live stream, samples carried over between batches, and a log that is replayed and then followed."""
+    import numpy as np
+
+    def streamed(name, schema, parts, build, mode="update"):
+        folder = tmp_path / name
+        for rows in parts:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        d = build(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder)))
+        d.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"{name}-state")).trigger(availableNow=True).start().awaitTermination()
+        return spark.table(name).collect()
+
+    say = lambda k, t, **more: (1, k, "data: " + json.dumps({"model": "m", "choices": [{"delta": {"content": t}, **more}]}))
+    rows = streamed("sse", "file_id long, ord long, line string", [[say(0, "Hel"), say(1, "lo ")], [say(2, "you", finish_reason="stop"), (1, 3, "data: [DONE]"), (1, 4, ": ping")]], J.sse_fold)
+    assert max((r.lines, r.content, r.finish) for r in rows) == (3, "Hello you", "stop")
+
+    pcm = np.random.default_rng(1).integers(-3000, 3000, (2500, 2)).astype("<i2").tobytes()
+    cuts = [0, 3, 1001, 4002, 4003, 9999, len(pcm)]
+    parts = [(1, k, pcm[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    got = streamed("pcm", "file_id long, ord long, bytes binary", [parts[:3], parts[3:]], lambda s: J.pcm_energy(s, rate=1000), "append")
+    x = np.frombuffer(pcm, "<i2").reshape(-1, 2) / 32768.0
+    seconds = {r.second: r for r in got}
+    assert sorted(seconds) == [0, 1]  # the last half second waits for more
+    for k in (0, 1):
+        part = x[1000 * k : 1000 * k + 1000]
+        assert abs(seconds[k].l - np.mean(part[:, 0] ** 2)) < 1e-12 and abs(seconds[k].diff - np.mean(((part[:, 0] - part[:, 1]) / 2) ** 2)) < 1e-12
+        assert np.allclose(seconds[k].blocks, [np.mean(part[i : i + 50] ** 2) for i in range(0, 1000, 50)])
+
+    log = [(1, k, f"line {k}") for k in range(4)] + [(1, 4, "[exit 0]"), (2, 0, "go")]
+    rows = J.replay_then_live(spark.createDataFrame(log, "job long, ord long, line string"), spark.createDataFrame([(1, 9, "late"), (2, 0, "go"), (2, 1, "on")], "job long, ord long, line string")).collect()
+    assert sorted((r.job, r.ord, r.line) for r in rows) == sorted([*log, (2, 1, "on")])
