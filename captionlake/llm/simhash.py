@@ -185,9 +185,9 @@ def _join_tasks(budget: int):
             # side 0 and 1: the two nodes of a pair; 2: a node with itself
             rot = g["rot"].view(np.uint64)
             order = np.lexsort((rot, g["side"], g["k"]))
-            rot, fp, k, side = rot[order], g["fp"][order], g["k"][order], g["side"][order]
+            rot, ids, k, side = rot[order], g["id"][order], g["k"][order], g["side"][order]
             depth, left = g["depth"][order], g["remain"][order]
-            links = Links(len(fp))
+            links = Links(len(ids))
             new = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (side[1:] != side[:-1]))))
             end = np.append(new[1:], len(k))
             own = side[new] == 2
@@ -200,13 +200,15 @@ def _join_tasks(budget: int):
                 for i, j in trie_pairs(rot, new[m], end[m], new[m + 1], end[m + 1], int(d), left[new[m]], budget):
                     links.add(i, j)
             i, j = links.edges()
-            yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["a", "b"])
 
     return run
 
 
 def trie_links(nodes: DataFrame, budget: int = 2) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints fp of nodes that connect all that differ in at most budget bits.
+    """Edges (a, b) between nodes (fp, id, space) that connect the ids of all fingerprints of a space that differ in at most budget bits.
+
+    A fingerprint stands once in its space; without a column id it is its own, and without a column space all are in one.
 
     Subtries with more than HOT fingerprints are split: their children at STRIDE more bits are paired with those that
     the budget still reaches, and each such node pair is a task of its own. This repeats until no subtrie is hot.
@@ -219,10 +221,11 @@ def trie_links(nodes: DataFrame, budget: int = 2) -> DataFrame:
         turn = r * size
         rot = F.expr(f"shiftleft(fp, {turn}) | shiftrightunsigned(fp, {64 - turn})") if turn else F.col("fp")
         at.append(F.struct(rot.alias("rot"), F.lit(bits).alias("depth"), F.lit(r).alias("r")))
-    tasks = nodes.select("fp", F.explode(F.array(*at)).alias("x")).select("fp", "x.rot", "x.depth", "x.r")
+    own, space = (F.col(c) if c in nodes.columns else other for c, other in (("id", F.col("fp")), ("space", F.lit(0))))
+    tasks = nodes.select(own.alias("id"), space.alias("space"), F.explode(F.array(*at)).alias("x")).select("id", "space", "x.rot", "x.depth", "x.r")
     tasks = tasks.select(
-        "fp", "rot", "depth", F.lit(budget).alias("remain"), F.lit(2).alias("side"),
-        F.xxhash64("r", F.expr("shiftrightunsigned(rot, 64 - depth)")).alias("k"),
+        "id", "rot", "depth", F.lit(budget).alias("remain"), F.lit(2).alias("side"),
+        F.xxhash64("space", "r", F.expr("shiftrightunsigned(rot, 64 - depth)")).alias("k"),
     )
     while True:
         hot = tasks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("d")).where(f"n > {HOT} AND d <= {64 - STRIDE}")
@@ -240,7 +243,7 @@ def trie_links(nodes: DataFrame, budget: int = 2) -> DataFrame:
         first = F.when(own, F.least("child", "other")).when(F.expr("side = 0"), F.col("child")).otherwise(F.col("other"))
         last = F.when(own, F.greatest("child", "other")).when(F.expr("side = 0"), F.col("other")).otherwise(F.col("child"))
         warm = warm.select(
-            "fp", "rot", (F.col("depth") + STRIDE).alias("depth"), (F.col("remain") - F.col("m.c")).alias("remain"),
+            "id", "rot", (F.col("depth") + STRIDE).alias("depth"), (F.col("remain") - F.col("m.c")).alias("remain"),
             F.when(own & F.expr("m.m = 0"), F.lit(2)).when(own, F.when(F.expr("child < other"), F.lit(0)).otherwise(F.lit(1))).otherwise(F.col("side")).alias("side"),
             F.xxhash64("k", first, last).alias("k"),
         )
@@ -307,6 +310,13 @@ def _leaders(members: DataFrame, share: float) -> DataFrame:
         many *= 2
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small slices of the batches, so that what is made of texts in Python stays small."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
     """docs with one row of each group of near-duplicates: that of the smallest doc_id (rows without one come last), then of the smallest text hash.
 
@@ -323,24 +333,20 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))  # rows without doc_id sort last
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column(2)]
+        for part in _parts(batches):
+            texts = [t.as_py() for t in part.column(2)]
             fps = [pa.array(np.array([word_fingerprint(t, s) for t in texts], np.uint64).view(np.int64)) for s in seeds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *fps], ["key", "h", *(f"fp{k}" for k in range(len(seeds)))])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *fps], ["key", "h", *(f"fp{k}" for k in range(len(seeds)))])
 
     schema = ", ".join(["key long", "h long", *(f"fp{k} long" for k in range(len(seeds)))])
     rows = materialize(docs.select(key.alias("key"), text_hash().alias("h"), text.alias("text")).mapInArrow(marks, schema), "fingerprints")
     # One node for each text; equal texts have equal fingerprints.
     nodes = materialize(rows.groupBy("h").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n"), *[F.min(f"fp{k}").alias(f"fp{k}") for k in range(len(seeds))]), "texts")
-    links = None
-    for k in range(len(seeds)):
-        fp = nodes.select("h", F.col(f"fp{k}").alias("fp"))
-        one = materialize(fp.groupBy("fp").agg(F.min("h").alias("h1")), "one")
-        same = fp.join(one, "fp").where("h <> h1").select(F.col("h").alias("a"), F.col("h1").alias("b"))
-        pairs = trie_links(one.select("fp"), budget)
-        ends = pairs.join(one.select(F.col("fp").alias("a"), F.col("h1").alias("x")), "a").join(one.select(F.col("fp").alias("b"), F.col("h1").alias("y")), "b")
-        more = same.union(ends.select("x", "y"))
-        links = more if links is None else links.union(more)
+    # All seeds in one trie join, each a space of its own; of texts with one fingerprint the least hash stands for all.
+    fps = nodes.select("h", F.posexplode(F.array(*[f"fp{k}" for k in range(len(seeds))])).alias("space", "fp"))
+    one = materialize(fps.groupBy("space", "fp").agg(F.min("h").alias("id")), "one")
+    same = fps.join(one, ["space", "fp"]).where("h <> id").select(F.col("h").alias("a"), F.col("id").alias("b"))
+    links = same.union(trie_links(one, budget))
     roots = materialize(connected_components(links).withColumnRenamed("node", "h"), "roots")
     members = materialize(nodes.select("h", "key").join(roots, "h"), "members")
     # Shingles of texts in components; a filter keeps most other texts out of the join.
@@ -348,11 +354,11 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()  # copies within a task go once
-        for batch in batches:
-            hit = np.flatnonzero(may_hold(held.value, batch.column(2).to_numpy())).tolist()
-            number = batch.column(0).to_numpy()
+        for part in _parts(batches):
+            hit = np.flatnonzero(may_hold(held.value, part.column(2).to_numpy())).tolist()
+            number = part.column(0).to_numpy()
             new = [k for k in hit if number[k] not in sent and not sent.add(number[k])]
-            got = [np.unique(shingle_hashes(batch.column(1)[k].as_py(), words)).view(np.int64) for k in new]
+            got = [np.unique(shingle_hashes(part.column(1)[k].as_py(), words)).view(np.int64) for k in new]
             yield pa.RecordBatch.from_arrays([pa.array(number[new]), pa.array(got, pa.list_(pa.int64()))], ["h", "sh"])
 
     sh = docs.select(text_hash().alias("h"), text.alias("text")).withColumn("f", F.xxhash64("h")).mapInArrow(shingles, "h long, sh array<long>")
