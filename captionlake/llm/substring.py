@@ -102,12 +102,11 @@ def contexts(data: bytes, least: int = 400, core: int = CORE) -> tuple[np.ndarra
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by their first `depth` signs at least (prefix doubling); text holds values below 511."""
     n = len(text)
-    rank, reach = text.astype(np.int64), 1
-    while reach < 4:  # four signs fit in one key
-        nxt = np.zeros(n, np.int64)
-        nxt[: n - reach] = rank[reach:]
-        rank = (rank << (9 * reach)) | nxt
-        reach *= 2
+    signs = text.astype(np.int64)
+    rank, reach = signs.copy(), 7  # seven signs of nine bits fit in one key
+    for k in range(1, reach):
+        rank <<= 9
+        rank[: n - k] |= signs[k:]
     while True:
         order = np.argsort(rank)  # suffixes that share `depth` signs may stand in any order
         ordered = rank[order]
@@ -287,7 +286,8 @@ def removal_runs(docs: DataFrame, least: int = 400, hot: int = HOT) -> DataFrame
     twice = occ.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("m > 1").select("g", F.expr("c1 <> c2").alias("several"))
     # Written first, so that both sides of the join are plain exchanges, whose hot keys Spark can split.
     seen = materialize(occ.join(materialize(twice, "anchors"), "g"), "repeats")
-    settled = seen.where("NOT several").select("tkey", F.array(F.struct(F.col("p").alias("s"), (F.col("p") + F.col("windows")).alias("e"))).alias("runs"))
+    # Copies of a text have the same places: each once for what is removed, all for how often a context stands.
+    settled = seen.where("NOT several").select("tkey", "p", "windows").distinct().select("tkey", F.array(F.struct(F.col("p").alias("s"), (F.col("p") + F.col("windows")).alias("e"))).alias("runs"))
     open_ = seen.where("several")
     asked = open_.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tkey", "p", "windows", "rel")).alias("x"))
     asked = asked.groupBy("x.tkey").agg(F.collect_list(F.struct("g", "c", "n", "x.p", "x.windows", "x.rel")).alias("asked"))
@@ -319,7 +319,7 @@ def removal_runs(docs: DataFrame, least: int = 400, hot: int = HOT) -> DataFrame
     ctx = ctx.groupBy("g", "c").agg(F.min("n").alias("n"), F.min("rel").alias("rel"), F.min("core").alias("core"), F.min("body").alias("body"))
     found = materialize(_resolve(materialize(ctx, "bodies"), least, hot), "runs")
     moved = F.transform("runs", lambda x: F.struct((x["s"] + F.col("p")).alias("s"), (x["e"] + F.col("p")).alias("e")))
-    return settled.union(open_.select("tkey", "p", "g", "c").join(found, ["g", "c"]).select("tkey", moved.alias("runs")))
+    return settled.union(open_.select("tkey", "p", "g", "c").distinct().join(found, ["g", "c"]).select("tkey", moved.alias("runs")))
 
 
 def _merged(runs: list[dict], least: int) -> list[tuple[int, int]]:
@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame, least: int = 400, hot: int = HOT) -> DataFra
     """One row for each row of docs: doc_id, n_bytes, spans (byte start, end) removed, kept_sha256."""
     spark = docs.sparkSession
     runs = removal_runs(docs, least, hot)
-    runs = materialize(runs.groupBy("tkey").agg(F.array_distinct(F.flatten(F.collect_set("runs"))).alias("runs")), "removals")
+    runs = materialize(runs.groupBy("tkey").agg(F.flatten(F.collect_list("runs")).alias("runs")), "removals")
     held = spark.sparkContext.broadcast(key_filter(runs, "tkey"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
