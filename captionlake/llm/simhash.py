@@ -317,7 +317,7 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(a, rows)
 
 
-def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44)) -> DataFrame:
+def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44, 45, 46)) -> DataFrame:
     """docs with one row of each group of near-duplicates: that of the smallest doc_id (rows without one come last), then of the smallest text hash.
 
     Texts are candidates when one of their word fingerprints (one for each seed) differs in at most budget bits; candidates
