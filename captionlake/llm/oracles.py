@@ -53,3 +53,53 @@ def licenses_sql() -> str:
 q AS (SELECT doc_id, array_to_string(list_transform(parts, lambda s: CASE WHEN length(s) <= {2 * longest} THEN coalesce({known}[{norm}], '.') ELSE '.' END), '') AS sequence FROM p)
 SELECT doc_id, CAST(length(replace(sequence, '.', '')) AS BIGINT) AS n_known,
   array_to_string(list_transform(regexp_extract_all(sequence, {_quoted('|'.join(joined))}), lambda x: {shown}[x]), ',') AS licenses FROM q"""
+
+
+#: crc32 of doc_id as text, bit by bit.
+CRC = """xor(4294967295, list_reduce(
+    list_transform(range(8 * length(doc_id::VARCHAR)), lambda k: (ord(substr(doc_id::VARCHAR, k // 8 + 1, 1))::BIGINT >> (k % 8)) & 1),
+    lambda c, b: xor(c >> 1, CASE WHEN (c & 1) <> b THEN 3988292384 ELSE 0 END), 4294967295))"""
+
+
+def merkle_sql() -> str:
+    """Trees level by level, then every leaf folded up to the root."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    whole = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    def tree(name: str, leaves: str, group: str) -> str:
+        return f"""
+{name}_up AS (
+  SELECT {group} AS g, 0 AS lv, i, h, n FROM {leaves}
+  UNION ALL
+  SELECT g, lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM {name}_up WHERE n > 1 GROUP BY g, lv, i // 3, n
+), {name}_side AS (
+  SELECT u.g, u.lv, u.i, coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i < u.i), '') AS before, coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i > u.i), '') AS after
+  FROM {name}_up u JOIN {name}_up v ON u.g = v.g AND u.lv = v.lv AND u.i // 3 = v.i // 3 WHERE u.n > 1 GROUP BY u.g, u.lv, u.i
+)"""
+
+    def fold(name: str, start: str) -> str:
+        return f"""
+{name}_fold AS (
+  {start}
+  UNION ALL
+  SELECT d, f.g, f.lv + 1, f.i // 3, sha256(before || h || after), proof || before || after
+  FROM {name}_fold f JOIN {name}_side s ON f.g = s.g AND f.lv = s.lv AND f.i = s.i
+)"""
+
+    return f"""
+WITH RECURSIVE base AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce('=' || source, '') AS g, {whole("text")} AS leaf,
+    {whole("t")} AS claimed
+  FROM (SELECT *, CASE WHEN text IS NOT NULL AND doc_id IS NOT NULL AND crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS t FROM (SELECT *, {CRC} AS crc FROM documents))
+), leaves AS (
+  SELECT *, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM base
+), {tree("low", "leaves", "g")},
+tops AS (SELECT g AS src, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM low_up WHERE n = 1),
+{tree("high", "tops", "'all'")},
+{fold("low", "SELECT d, g, 0 AS lv, i, claimed AS h, '' AS proof FROM leaves")},
+low_end AS (SELECT d, g, h, proof FROM low_fold QUALIFY row_number() OVER (PARTITION BY d ORDER BY lv DESC) = 1),
+{fold("high", "SELECT e.d, 'all' AS g, 0 AS lv, t.i, e.h, e.proof FROM low_end e JOIN tops t ON e.g = t.src")},
+high_end AS (SELECT d, h, proof FROM high_fold QUALIFY row_number() OVER (PARTITION BY d ORDER BY lv DESC) = 1)
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM leaves l JOIN tops t ON l.g = t.src JOIN high_end e USING (d), (SELECT h FROM high_up WHERE n = 1) r
+"""

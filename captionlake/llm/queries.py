@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, oracles, packing, quality_knn, quality_rules, secrets, simhash, substring, toxicity
+from . import chat, decontam, lexical, licenses, merkle, oracles, packing, pieces, quality_knn, quality_rules, secrets, simhash, substring, toxicity
 from .common import table
 
 
@@ -78,11 +78,52 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.recognise(table(spark, sf_dir, "documents")).select("doc_id", "n_known", "licenses")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.public_model()
+    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    return rows.select(
+        "doc_id", F.expr("cast(octet_length(ids) div 4 AS long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tf AS (SELECT d, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT d, sum(tf) AS n FROM tf GROUP BY d),
+stats AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM n),
+m AS (SELECT d, CAST(100 - 25 + (25 * n * n_docs) // n_terms AS BIGINT) AS m FROM n, stats),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, stats GROUP BY term),
+q AS (
+  SELECT q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS q, * FROM benchmark)
+),
+s AS (SELECT q, item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (d) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 2 divides the crc32 of a doc_id, a copy of the row whose text lost its line ends is held against the root."""
+    docs = table(spark, sf_dir, "documents")
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(marked, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaves = docs.select("source", "doc_id", merkle.leaf().alias("leaf"), merkle.leaf(text=tampered).alias("claimed"))
+    rows = merkle.proofs(leaves).withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_text(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_chat_format, op3_decontamination, op4_quality_classifier, op5_substring_dedup, op6_packing, op7_quality_rules, op8_secret_scan,
-        op9_toxicity, op10_license_scan,
+        op9_toxicity, op10_license_scan, op11_sentencepiece, op12_lexical_search, op13_merkle_manifest,
     )
 }
-ORACLE_SQL = {"op2_chat_format": OP2_SQL, "op8_secret_scan": oracles.secrets_sql(), "op10_license_scan": oracles.licenses_sql()}
+ORACLE_SQL = {"op2_chat_format": OP2_SQL, "op8_secret_scan": oracles.secrets_sql(), "op10_license_scan": oracles.licenses_sql(), "op12_lexical_search": OP12_SQL, "op13_merkle_manifest": oracles.merkle_sql()}
