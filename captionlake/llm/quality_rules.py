@@ -253,4 +253,6 @@ def keep(docs: DataFrame, cutoff: float = CUTOFF, support: float = 0.75, prior:
     row = free_name(docs.columns, "row")
     packed = docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     counted = materialize(_transformed(base_counts(packed, row)), "counted")
-    return _judged(counted, estimates(counted.drop(row), support, prior), cutoff).where("kept").select(f"{row}.*")
+    judged = _judged(counted, estimates(counted.drop(row), support, prior), cutoff)
+    # A filter on a generated column stays above it: pushed down, it would spell out the elimination, whose size doubles with each column.
+    return judged.select(row, F.explode(F.array("kept")).alias("stays")).where("stays").select(f"{row}.*")
