@@ -261,7 +261,8 @@ def _search_block(index: Index, block: list[tuple], top: int) -> DataFrame:
                 out.append((query, None if doc_id == LAST else doc_id, score))
         return pa.Table.from_batches([_batch(out, HITS)])
 
-    asked = spark.createDataFrame([(t,) for t in weight], "term string")
+    # The block bounds the terms that are broadcast; every shard comes with its row of documents.
+    asked = F.broadcast(spark.createDataFrame([(t,) for t in weight], "term string"))
     found = index.postings.where("term IS NOT NULL").join(asked, "term", "left_semi").select("shard", "term", "data")
     found = found.unionByName(index.postings.where("term IS NULL").select("shard", "term", "data"))
     return found.groupBy("shard").applyInArrow(run, HITS)

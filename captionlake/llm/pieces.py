@@ -35,7 +35,7 @@ from .common import free_name
 MARK = "▁"
 STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Remembered stretches and pairs, and the characters of the longest stretch that is remembered.
-MOST, SHORT = 400_000, 64
+MOST, SHORT = 250_000, 64
 NEVER = float("-inf")
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -206,28 +206,41 @@ def public_model(name: str = "piece_bpe_32k", folder: str | None = None) -> Call
     return make
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: str, f: Callable[[Pieces], Callable], model: Callable[[], Pieces]) -> DataFrame:
-    """df and a column that f of the model makes of another."""
-    taken = free_name(df.columns, name)
-    ready = df.withColumn(taken, F.col(f"`{source}`"))
+def _with_columns(df: DataFrame, names: dict[str, str], row: Callable[[Pieces], Callable], model: Callable[[], Pieces], source: str) -> DataFrame:
+    """df and columns (name -> type) that row of the model makes, as a tuple, of column `source`. A taken name gets underscores before it."""
+    taken = [free_name(df.columns, n) for n in names]
     at = len(df.columns)
-    schema = ready.select(*df.columns, F.lit(None).cast(kind).alias(taken)).schema
+    ready = df.withColumn(free_name(df.columns, "input"), F.col(f"`{source}`"))
+    schema = df.select("*", *[F.lit(None).cast(k).alias(n) for n, k in zip(taken, names.values())]).schema
+    kinds = [{"binary": pa.binary(), "string": pa.string()}[k] for k in names.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply = f(model())
-        arrow = pa.binary() if kind == "binary" else pa.string()
+        apply = row(model())
         for batch in batches:
-            made = pa.array((apply(v.as_py()) for v in batch.column(at)), arrow)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], made], batch.schema.names)
+            made = zip(*[apply(v.as_py()) for v in batch.column(at)]) if len(batch) else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *map(pa.array, made, kinds)], schema.names)
 
     return ready.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, model: Callable[[], Pieces], text: str = "text", ids: str = "ids") -> DataFrame:
-    """docs and a binary column of ids, little-endian unsigned 32-bit. A taken name gets underscores before it."""
-    return _with_column(docs.withColumn(text, F.col(f"`{text}`").cast("string")), text, ids, "binary", lambda m: m.encode, model)
+    """docs and a binary column of ids, little-endian unsigned 32-bit."""
+    return _with_columns(docs, {ids: "binary"}, lambda m: lambda v: (m.encode(v),), model, text)
 
 
 def decode(docs: DataFrame, model: Callable[[], Pieces], ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """docs and the text of their ids. A taken name gets underscores before it."""
-    return _with_column(docs, ids, text, "string", lambda m: lambda v: None if v is None else m.decode(v), model)
+    """docs and the text of their ids."""
+    return _with_columns(docs, {text: "string"}, lambda m: lambda v: (None if v is None else m.decode(v),), model, ids)
+
+
+def round_trip(docs: DataFrame, model: Callable[[], Pieces], text: str = "text", ids: str = "ids", back: str = "decoded") -> DataFrame:
+    """docs with the ids of their text and the text of these ids: encode and decode in one worker."""
+
+    def both(m: Pieces) -> Callable:
+        def row(v: str | None) -> tuple[bytes, str]:
+            got = m.encode(v)
+            return got, m.decode(got)
+
+        return row
+
+    return _with_columns(docs, {ids: "binary", back: "string"}, both, model, text)

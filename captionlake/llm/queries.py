@@ -79,8 +79,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = pieces.public_model()
-    rows = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    rows = pieces.round_trip(table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text")), pieces.public_model())
     return rows.select(
         "doc_id", F.expr("cast(octet_length(ids) div 4 AS long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
