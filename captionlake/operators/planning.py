@@ -2,48 +2,76 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from captionlake.config import PLAN, PlanConfig
 
-from .cues import fold_files
 
-CHUNKS = "file_id long, idx long, start_ms long, end_ms long, cut_gap_ms long"
+def _cut_runs(silences: Column, until: Column, cfg: PlanConfig) -> Column:
+    """Runs of cuts (at, gap, n) of a file: n cuts from `at` on, a target apart. Times are half milliseconds.
 
+    silences are (gap, at) in order of their middles. They are passed once, by array functions: the state is the last cut,
+    the widest silence near the next target, and the runs so far. Since a target is more than three searches, places near
+    one target can't be near the next one whatever is chosen, so nothing has to be looked at twice. A silence beyond the
+    search settles the target before it: the widest one found, else as many plain targets as lie before that silence.
+    """
+    step, reach = 2 * cfg.target_ms, 2 * cfg.search_ms
+    run = "array<struct<at: bigint, gap: bigint, n: bigint>>"
+    start = F.expr(f"struct(0L AS last, cast(null AS struct<gap: bigint, at: bigint>) AS widest, cast(array() AS {run}) AS runs)")
 
-def plan_cuts(gaps: list[tuple[int, int]], dur_ms: int, cfg: PlanConfig = PLAN) -> list[tuple[int, int]]:
-    """(cut, length of the gap it lies in) from gaps (start, end), in order; the last cut is the duration.
+    def state(last: Column, widest: Column, runs: Column) -> Column:
+        return F.struct(last.alias("last"), widest.alias("widest"), runs.alias("runs"))
 
-    Middles are kept in half milliseconds for the next target; the cut itself is rounded to 10 ms, halves to even, and
-    candidates must lie behind that rounded cut.
-    """
-    cuts: list[tuple[int, int]] = []
-    target2, last2 = 2 * cfg.target_ms, 0
-    while target2 < 2 * (dur_ms - cfg.rest_ms):
-        near = [(e - s, s + e) for s, e in gaps if abs(s + e - target2) <= 2 * cfg.search_ms and s + e > last2 + 2 * cfg.least_ms]
-        size, mid2 = max(near, default=(0, target2))
-        tens, rest = divmod(mid2, 20)
-        cut = 10 * (tens + (rest > 10 or (rest == 10 and tens % 2)))
-        cuts.append((cut, size))
-        target2, last2 = mid2 + 2 * cfg.target_ms, 2 * cut
-    return [*cuts, (dur_ms, 0)]
+    def one(at: Column, gap: Column, n: Column) -> Column:
+        return F.array(F.struct(at.cast("long").alias("at"), gap.cast("long").alias("gap"), n.cast("long").alias("n")))
+
+    nothing = F.lit(None).cast("struct<gap: bigint, at: bigint>")
+
+    def settle(s: Column, m: Column) -> Column:
+        past = s["widest"].isNotNull() & (m["at"] > s["last"] + step + reach)
+        return F.when(past, state(s["widest"]["at"], nothing, F.concat(s["runs"], one(s["widest"]["at"], s["widest"]["gap"], F.lit(1))))).otherwise(s)
+
+    def skip(s: Column, m: Column) -> Column:
+        before = F.ceil((m["at"] - s["last"] - step - reach) / step)
+        n = F.least(before, F.ceil((until - s["last"]) / step) - 1).cast("long")
+        return F.when(s["widest"].isNull() & (n > 0), state(s["last"] + n * step, nothing, F.concat(s["runs"], one(s["last"] + step, F.lit(0), n)))).otherwise(s)
+
+    def look(s: Column, m: Column) -> Column:
+        target = s["last"] + step
+        near = (F.abs(m["at"] - target) <= reach) & (target < until)
+        return F.when(near, state(s["last"], F.greatest(s["widest"], m), s["runs"])).otherwise(s)
+
+    phases = F.array(F.lit(0), F.lit(1), F.lit(2))
+    done = F.array(F.struct(F.lit(0).cast("long").alias("gap"), (until + 2 * step + reach).cast("long").alias("at")))
+    return F.aggregate(
+        F.concat(silences, done), start,
+        lambda s, m: F.aggregate(phases, s, lambda s, p: F.when(p == 0, settle(s, m)).when(p == 1, skip(s, m)).otherwise(look(s, m))),
+        lambda s: s["runs"],
+    )
 
 
 def chunk_plan(speech: DataFrame, audio: DataFrame, cfg: PlanConfig = PLAN) -> DataFrame:
-    """(file_id, idx, start_ms, end_ms, cut_gap_ms) for audio (file_id, dur_ms) and its speech segments."""
-    d = audio.join(speech, "file_id", "left").select("file_id", "dur_ms", "seg", "start_ms", "end_ms")
-
-    def fold(pdf: pd.DataFrame) -> list[tuple]:
-        pdf = pdf.dropna(subset=["seg"]) if pdf["seg"].notna().any() else pdf.iloc[:1]
-        s, e = pdf["start_ms"].tolist(), pdf["end_ms"].tolist()
-        gaps = [(int(a), int(b)) for a, b in zip(e, s[1:])]
-        cuts = plan_cuts(gaps, int(pdf["dur_ms"].iloc[0]), cfg)
-        file_id = int(pdf["file_id"].iloc[0])
-        return [(file_id, k, a, c, g) for k, (a, (c, g)) in enumerate(zip([0, *(c for c, _ in cuts)], cuts), 1)]
-
-    return fold_files(d, ["seg"], CHUNKS, fold)
+    """(file_id, idx, start_ms, end_ms, cut_gap_ms) for audio (file_id, dur_ms) and its speech segments.
+
+    Chunks end in the middle of the widest silence near each target, the later of equals, else at the target; cuts are rounded to
+    10 ms, halves to even, while the next target counts from the cut before rounding. A target in the last rest is none.
+    Files are the partition key: one exchange serves the silences and their lists, which are as long as a file has silences.
+    """
+    if cfg.target_ms <= 3 * cfg.search_ms or cfg.target_ms - cfg.search_ms <= cfg.least_ms + 10:
+        raise ValueError("a target must be more than three searches, and more than a search and the least chunk")
+    after = F.lead("start_ms").over(Window.partitionBy("file_id").orderBy("seg"))
+    gaps = speech.select("file_id", F.col("end_ms").alias("s"), after.alias("e")).where("e IS NOT NULL")
+    lists = gaps.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct((F.col("s") + F.col("e")).alias("at"), (F.col("e") - F.col("s")).alias("gap")))).alias("x"))
+    by_place = F.transform("x", lambda m: F.struct(m["gap"], m["at"]))
+    none = F.expr("cast(array() AS array<struct<gap: bigint, at: bigint>>)")
+    d = audio.join(lists, "file_id", "left").select("file_id", "dur_ms", F.coalesce(by_place, none).alias("x"))
+    d = d.withColumn("runs", _cut_runs(F.col("x"), 2 * (F.col("dur_ms") - cfg.rest_ms), cfg))
+    each = F.flatten(F.transform("runs", lambda r: F.transform(F.sequence(F.lit(0).cast("long"), r["n"] - 1), lambda k: F.struct((F.rint((r["at"] + k * 2 * cfg.target_ms) / 20) * 10).cast("long").alias("cut"), r["gap"].alias("gap")))))
+    d = d.select("file_id", F.concat(each, F.array(F.struct(F.col("dur_ms").cast("long").alias("cut"), F.lit(0).cast("long").alias("gap")))).alias("c"))
+    d = d.select("file_id", "c", F.posexplode("c").alias("k", "x"))
+    start = F.when(F.col("k") == 0, F.lit(0).cast("long")).otherwise(F.get("c", F.col("k") - 1)["cut"])
+    return d.select("file_id", (F.col("k") + 1).cast("long").alias("idx"), start.alias("start_ms"), F.col("x.cut").alias("end_ms"), F.col("x.gap").alias("cut_gap_ms"))
 
 
 def chunk_bounds(files: DataFrame, total: str, chunk: int, least_tail: int) -> DataFrame:
