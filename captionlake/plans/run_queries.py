@@ -294,6 +294,13 @@ def q_sse_fold(spark, d):
     return R.sse_replies(events).select(F.col("file_id").alias("conv_id"), "content", "model").where("model IS NOT NULL")
 
 
+@query("""SELECT page_id, '' AS content, 'not an event stream: ' || left(html, 300) AS error FROM pages WHERE trim(html, ' ' || chr(9) || chr(10) || chr(13)) <> ''""")
+def q_sse_body(spark, d):
+    """Replies that are web pages in place of event streams."""
+    lines = src(spark, d, "pages").select(F.col("page_id").alias("file_id"), F.posexplode(F.split("html", "\n")).alias("ord", "line"))
+    return R.sse_replies(lines).select(F.col("file_id").alias("page_id"), "content", F.element_at("errors", 1).alias("error")).where("error IS NOT NULL")
+
+
 @query("SELECT user_id, arg_max(CAST(event_id % 100 AS VARCHAR), event_id) AS retry_after FROM events WHERE event_type = 'error' GROUP BY user_id")
 def q_last_header(spark, d):
     e = src(spark, d, "events")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from captionlake.functions.text import file_stem, normalize_key, srt_cues, tokens
 
+#: The error of a reply that is no event stream: how many characters of the body it holds, and what stands before them.
+SHOWN, NO_STREAM = 300, "not an event stream: "
 WORD = "struct<w: string, start: double, end: double, score: double>"
 WORDS_JSON = f"key string, audio string, vad array<double>, words array<{WORD}>"
 PLAN_JSON = "dur double, input string, model string, segments array<array<double>>, chunks array<struct<idx: bigint, start: double, end: double, speech_sec: double, cut_gap_sec: double>>"
@@ -79,19 +81,35 @@ def mai_replies(replies: DataFrame) -> DataFrame:
 
 
 def sse_replies(lines: DataFrame) -> DataFrame:
-    """(file_id, content, model, finish, errors) from lines (file_id, ord, line) of event streams.
+    """(file_id, content, model, finish, usage, errors) from lines (file_id, ord, line) of event streams, ord from 0.
 
-    Only data lines count; empty, [DONE] and broken ones are skipped; contents join in order, the last model and finish win.
+    Only data lines count; empty, [DONE] and broken ones are skipped; contents join in order, the last model, finish and usage
+    win; an event with an error counts as that alone. A body that does not begin with a data line has an error with its
+    first 300 characters. Errors and usage are JSON, an error that is a text is that text.
     """
-    kind = "struct<model: string, error: string, choices: array<struct<delta: struct<content: string>, finish_reason: string>>>"
-    body = F.trim(F.substring(F.col("line"), 6, 1 << 30))
-    d = lines.where(F.startswith("line", F.lit("data:"))).withColumn("body", body).where("body NOT IN ('', '[DONE]')")
-    d = d.withColumn("x", F.from_json("body", kind)).withColumn("c", F.get("x.choices", 0))
-    parts = F.array_sort(F.collect_list(F.when(F.col("c.delta.content").isNotNull(), F.struct("ord", F.col("c.delta.content").alias("t")))))
+    kind = "struct<model: string, usage: string, error: string, choices: array<struct<delta: struct<content: string>, finish_reason: string>>>"
+    line = F.coalesce("line", F.lit(""))
+    body = F.when(F.startswith(line, F.lit("data:")), F.trim(F.substring(line, 6, 1 << 30)))
+    d = lines.withColumns({"line": line, "body": body}).withColumn("x", F.from_json("body", kind))
+    d = d.withColumn("bad", F.get_json_object("body", "$.error").isNotNull())
+    good = F.when(~F.col("bad"), F.col("x"))
+    text = F.array_join(F.transform(F.coalesce(good["choices"], F.array().cast("array<struct<delta: struct<content: string>, finish_reason: string>>")), lambda c: F.coalesce(c["delta"]["content"], F.lit(""))), "")
+    finish = F.try_element_at(F.filter(F.transform(good["choices"], lambda c: c["finish_reason"]), lambda f: F.length(f) > 0), F.lit(-1))
+    usage = F.when(~F.coalesce(good["usage"], F.lit("")).isin("", "null", "{}", "[]", "0", "false"), good["usage"])
+    d = d.withColumns({"t": text, "f": finish, "u": usage, "m": good["model"]})
+    ordered = lambda keep, *c: F.array_sort(F.collect_list(F.when(keep, F.struct("ord", *c))))
     last = lambda x: F.max_by(x, F.when(F.nullif(x, F.lit("")).isNotNull(), F.col("ord")))
-    return d.groupBy("file_id").agg(
-        F.array_join(F.transform(parts, lambda p: p["t"]), "").alias("content"), last(F.col("x.model")).alias("model"), last(F.col("c.finish_reason")).alias("finish"),
-        F.collect_list("x.error").alias("errors"),
+    begins = F.min_by(F.trim("line"), F.when(F.trim("line") != "", F.col("ord")))  # blanks before the first word don't count
+    g = d.groupBy("file_id").agg(
+        ordered(F.length("t") > 0, "t").alias("t"), last(F.col("m")).alias("model"), last(F.col("f")).alias("finish"), last(F.col("u")).alias("usage"),
+        ordered(F.col("bad"), F.col("x.error").alias("e")).alias("e"), begins.alias("begins"),
+        ordered(F.col("ord") < SHOWN, F.substring("line", 1, SHOWN).alias("l")).alias("shown"),
+    )
+    whole = F.substring(F.array_join(F.transform("shown", lambda x: x["l"]), "\n"), 1, SHOWN)
+    error = F.when(~F.startswith("begins", F.lit("data:")), F.array(F.concat(F.lit(NO_STREAM), whole))).otherwise(F.array().cast("array<string>"))
+    return g.select(
+        "file_id", F.array_join(F.transform("t", lambda p: p["t"]), "").alias("content"), "model", "finish", "usage",
+        F.concat(F.transform("e", lambda p: p["e"]), F.coalesce(error, F.array().cast("array<string>"))).alias("errors"),
     )
 
 

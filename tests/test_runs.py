@@ -161,34 +161,8 @@ def test_traces(spark, tmp_path):
     assert [tuple(r) for r in R.manifest_csv(spark, str(tmp_path / "m"), "file string, status string, words long").collect()] == [("x", "ok", 3)]
 
 
-def test_streams(spark, tmp_path):
-    """Replies folded from a live stream, samples carried over between batches, and a log that is replayed and then followed."""
-    import numpy as np
-
-    def streamed(name, schema, parts, build, mode="update"):
-        folder = tmp_path / name
-        for rows in parts:
-            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
-        d = build(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder)))
-        d.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"{name}-state")).trigger(availableNow=True).start().awaitTermination()
-        return spark.table(name).collect()
-
-    say = lambda k, t, **more: (1, k, "data: " + json.dumps({"model": "m", "choices": [{"delta": {"content": t}, **more}]}))
-    rows = streamed("sse", "file_id long, ord long, line string", [[say(0, "Hel"), say(1, "lo ")], [say(2, "you", finish_reason="stop"), (1, 3, "data: [DONE]"), (1, 4, ": ping")]], J.sse_fold)
-    assert max((r.lines, r.content, r.finish) for r in rows) == (3, "Hello you", "stop")
-
-    pcm = np.random.default_rng(1).integers(-3000, 3000, (2500, 2)).astype("<i2").tobytes()
-    cuts = [0, 3, 1001, 4002, 4003, 9999, len(pcm)]
-    parts = [(1, k, pcm[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-    got = streamed("pcm", "file_id long, ord long, bytes binary", [parts[:3], parts[3:]], lambda s: J.pcm_energy(s, rate=1000), "append")
-    x = np.frombuffer(pcm, "<i2").reshape(-1, 2) / 32768.0
-    seconds = {r.second: r for r in got}
-    assert sorted(seconds) == [0, 1]  # the last half second waits for more
-    for k in (0, 1):
-        part = x[1000 * k : 1000 * k + 1000]
-        assert abs(seconds[k].l - np.mean(part[:, 0] ** 2)) < 1e-12 and abs(seconds[k].diff - np.mean(((part[:, 0] - part[:, 1]) / 2) ** 2)) < 1e-12
-        assert np.allclose(seconds[k].blocks, [np.mean(part[i : i + 50] ** 2) for i in range(0, 1000, 50)])
-
+def test_replay(spark):
+    """A log that is replayed and then followed."""
     log = [(1, k, f"line {k}") for k in range(4)] + [(1, 4, "[exit 0]"), (2, 0, "go")]
     rows = J.replay_then_live(spark.createDataFrame(log, "job long, ord long, line string"), spark.createDataFrame([(1, 9, "late"), (2, 0, "go"), (2, 1, "on")], "job long, ord long, line string")).collect()
     assert sorted((r.job, r.ord, r.line) for r in rows) == sorted([*log, (2, 1, "on")])
