@@ -11,12 +11,13 @@ from pyspark.sql.types import StringType
 
 
 def _marked_letters() -> tuple[str, str]:
-    """Lower-case Latin letters that decompose into a letter a to z and marks, and that letter; and d with stroke."""
+    """Lower-case letters of any script that decompose into one letter and marks, and that letter; and d with stroke."""
     pairs = [("đ", "d")]
-    for code in (*range(0xDF, 0x250), *range(0x1E00, 0x1F00)):
-        base = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(c) != "Mn")
-        if base != chr(code) and len(base) == 1 and "a" <= base <= "z":
-            pairs.append((chr(code), base))
+    for code in (*range(0xDF, 0x1100), *range(0x1E00, 0x2C00), *range(0x3040, 0x3100)):
+        c = chr(code)
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if base != c and len(base) == 1 and unicodedata.category(c) in ("Ll", "Lo") and "'" not in base:
+            pairs.append((c, base))
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
@@ -38,9 +39,19 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
 
+#: Korean syllables that composition makes one sign: of single letters, and of a syllable without a final letter and one.
+SYLLABLE = "[\u1100-\u1112][\u1161-\u1175][\u11A8-\u11C2]?|[" + "".join(chr(c) for c in range(0xAC00, 0xD7A4, 28)) + "][\u11A8-\u11C2]"
+
+
 def char_count(text) -> Column:
-    """Characters of a composed text without line breaks and combining marks."""
-    return F.length(F.regexp_replace(col(text), r"[\p{M}\n]", "")).cast("long")
+    """Characters of a text, composed or decomposed, without line breaks and combining marks.
+
+    A letter and its marks are one character either way, since marks aren't counted; Korean syllables are the one
+    composition besides that changes the count, and only texts with their single letters are looked at.
+    """
+    text = col(text)
+    one = F.when(text.rlike("[\u1161-\u11C2]"), F.regexp_replace(text, SYLLABLE, "\uAC00")).otherwise(text)
+    return F.length(F.regexp_replace(one, r"[\p{M}\n]", "")).cast("long")
 
 
 def plain_letters(text) -> Column:
@@ -48,7 +59,8 @@ def plain_letters(text) -> Column:
 
 
 def normalize_key(text) -> Column:
-    """Comparison key of a title: no marks, lower case, single spaces."""
+    """Comparison key of a title: no marks, lower case, single spaces; equal for composed and decomposed letters of all scripts
+    but Korean syllables and the Indic vowel signs of two parts, whose titles go through nfc() first."""
     return F.trim(F.regexp_replace(plain_letters(text), r"\s+", " "))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,22 @@ def q_pair_full_outer(spark, d):
     return pairs(spark, d)
 
 
+def decomposed(text):
+    """A text with the marked letters of European languages as letters and marks, the way some file systems give names."""
+    for letter in "áéíóúýàèìòùâêîôûäëïöüãõñçåÁÉÍÓÚÝÀÈÌÒÙÂÊÎÔÛÄËÏÖÜÃÕÑÇÅ":
+        text = F.replace(text, F.lit(letter), F.lit(unicodedata.normalize("NFD", letter)))
+    return text
+
+
+@query("WITH " + PAIRS + ", tc AS (SELECT ord, length(replace(title, chr(10), '')) AS chars FROM ta) SELECT key, pairs.ord, audio_ord, CAST(chars AS BIGINT) AS audio_chars FROM pairs LEFT JOIN tc ON tc.ord = audio_ord")
+def q_pair_decomposed(spark, d):
+    """Titles against audio names whose marks stand apart: the same pairs, and the same number of characters."""
+    t, a = titles(spark, d)
+    a = a.withColumn("title", decomposed(F.col("title")))
+    chars = a.select(F.col("ord").alias("audio_ord"), T.char_count("title").alias("audio_chars"))
+    return P.build_pairs(t, a).join(chars, "audio_ord", "left").select("key", "ord", "audio_ord", "audio_chars")
+
+
 @query("WITH " + KEYS + " SELECT key, ord FROM ix WHERE key NOT IN (SELECT key FROM tl WHERE ord % 5 <> 0)")
 def q_pair_unused_audio(spark, d):
     t, a = titles(spark, d)

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from captionlake.functions import text as T
 from captionlake.operators import words as W
+from captionlake.sources import formats
+from captionlake.sources import sinks as S
+from captionlake.sources.shared import scratch
 
 from .derive import WORDS, titles, titles_sql, token_rows, words
 from .derive import table as src
@@ -48,6 +51,16 @@ def q_srt_parse(spark, d):
     return srt_files(spark, d).select("file_id", F.posexplode(T.srt_cues("srt")).alias("n", "text")).withColumn("n", (F.col("n") + 1).cast("long"))
 
 
+@query("WITH " + SRT_SQL + " SELECT file_id, n, text FROM cues")
+def q_srt_round_trip(spark, d):
+    """Every line of a document as a cue, written to a subtitle file for each document and read back from the files."""
+    lines = src(spark, d, "documents").select(F.col("doc_id").alias("file_id"), F.posexplode(F.split("text", "\n")).alias("n", "text")).where(F.trim("text") != "")
+    folder = scratch(spark, "srt")
+    S.write_srt(lines.select("file_id", "n", (F.col("n") * 1000).alias("start_ms"), (F.col("n") * 1000 + 900).alias("end_ms"), "text"), folder)
+    read = formats.register(spark).read.format("srt").load(folder)
+    return read.select(F.regexp_extract("path", r"([^/]*)\.srt$", 1).cast("long").alias("file_id"), "n", "text")
+
+
 @query("WITH " + SRT_SQL + " SELECT file_id, string_agg(text, chr(10) ORDER BY n) AS transcript FROM cues GROUP BY file_id")
 def q_srt_to_txt(spark, d):
     return srt_files(spark, d).select("file_id", F.array_join(T.srt_cues("srt"), "\n").alias("transcript")).where("transcript <> ''")

@@ -12,20 +12,39 @@ SHOWN, NO_STREAM = 300, "not an event stream: "
 WORD = "struct<w: string, start: double, end: double, score: double>"
 WORDS_JSON = f"key string, audio string, vad array<double>, words array<{WORD}>"
 PLAN_JSON = "dur double, input string, model string, segments array<array<double>>, chunks array<struct<idx: bigint, start: double, end: double, speech_sec: double, cut_gap_sec: double>>"
-#: The file endings that count as audio.
-AUDIO = ("mp3", "wav", "m4a", "flac", "ogg", "aac", "wma")
+#: The file endings that count as audio for pairing, for a batch, and for choosing a file.
+AUDIO = ("mp3",)
+BATCH_AUDIO = ("mp3", "wav", "m4a", "flac", "ogg", "aac", "wma")
+CHOICE_AUDIO = ("mp3", "m4a", "wav", "mp4", "mkv", "webm", "aac", "flac")
+
+
+def _listed(spark: SparkSession, folder: str, endings: tuple[str, ...]) -> DataFrame:
+    """(path, size) of the files of a folder, not of those below it, with one of the endings in whatever case."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder).select("path", F.col("length").alias("size"))
+    return d.where(F.lower("path").rlike(r"\.(" + "|".join(endings) + ")$"))
 
 
 def audio_files(spark: SparkSession, folders: list[str], endings: tuple[str, ...] = AUDIO) -> DataFrame:
     """(key, path, size): one file for each title; folders count in the order given, then names. Only names are read, never contents."""
     found = None
     for n, folder in enumerate(folders):
-        f = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder).select("path", F.col("length").alias("size"), F.lit(n).alias("folder"))
+        f = _listed(spark, folder, endings).withColumn("folder", F.lit(n))
         found = f if found is None else found.union(f)
-    d = found.where(F.lower("path").rlike(r"\.(" + "|".join(endings) + ")$")).withColumn("key", normalize_key(file_stem("path")))
+    d = found.withColumn("key", normalize_key(file_stem("path")))
     return d.groupBy("key").agg(F.min(F.struct("folder", "path", "size")).alias("x")).select("key", "x.path", "x.size")
 
 
+def batch_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, filename, path, size_mb) of a folder's audio files for a batch, in the order of their names."""
+    d = _listed(spark, folder, BATCH_AUDIO).withColumn("filename", F.regexp_extract("path", "[^/]*$", 0))
+    return d.select(F.regexp_replace("filename", r"\.[^.]*$", "").alias("name"), "filename", "path", (F.col("size") / 1048576).alias("size_mb")).orderBy("filename")
+
+
+def choice_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """(path) of a folder's sound and film files, in order."""
+    return _listed(spark, folder, CHOICE_AUDIO).select("path").orderBy("path")
+
+
 def transcripts(spark: SparkSession, path: str, kind: str = "txt") -> DataFrame:
     """(path, pos, w): words of text files, or of the cues of subtitle files."""
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value"))

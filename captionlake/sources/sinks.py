@@ -31,6 +31,10 @@ def write_manifest(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, emptyValue="")
 
 
-def write_srt(files: DataFrame, path: str) -> None:
-    """files (file_id, srt), one partition folder for each file."""
-    files.select("file_id", F.col("srt").alias("value")).write.mode("overwrite").partitionBy("file_id").text(path)
+def write_srt(cues: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """cues (file_id, n, start_ms, end_ms, text): one subtitle file for each file, streamed in order by the task that has it."""
+    from captionlake.sources.formats import register
+
+    register(cues.sparkSession)
+    rows = cues.select(*[F.col(n).cast(k).alias(n) for n, k in (("file_id", "string"), ("n", "long"), ("start_ms", "long"), ("end_ms", "long"), ("text", "string"))])
+    rows.repartition("file_id").sortWithinPartitions("file_id", "n").write.format("srt").mode(mode).save(path)

@@ -40,3 +40,19 @@ def test_fence_and_stem(spark):
 
 def test_nfc(spark):
     assert one(spark, T.nfc(F.col("c0")), "é") == "é"
+
+
+def test_decomposed(spark):
+    """Keys and counts don't depend on how letters are composed, in several scripts and orders of marks."""
+    import unicodedata
+
+    texts = ["Việt Nữ ế ệ", "Éclair ñandú", "Ελλάδα ώρα", "Йод ёж", "かがぱ", "한국어 각 가", "কো", "a\u0302\u0323b\n"]
+    for t in texts:
+        n, d = unicodedata.normalize("NFC", t), unicodedata.normalize("NFD", t)
+        want = sum(unicodedata.category(c) not in ("Mn", "Mc", "Me") for c in n.replace("\n", ""))
+        assert one(spark, T.char_count("c0"), n) == one(spark, T.char_count("c0"), d) == want, t
+        key = "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn").lower().strip()
+        both = {one(spark, T.normalize_key(T.nfc("c0")), x) for x in (n, d)}
+        assert both == {unicodedata.normalize("NFC", key)}, t
+        if not set("한কো") & set(n):
+            assert one(spark, T.normalize_key("c0"), n) == one(spark, T.normalize_key("c0"), d)
