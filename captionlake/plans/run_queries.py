@@ -12,6 +12,7 @@ from captionlake.operators import manifest as M
 from captionlake.operators import pairing as P
 from captionlake.sources import readers as R
 from captionlake.sources import sinks as S
+from captionlake.sources import traces as TR
 
 from .derive import ATTEMPTS, JOBLOG, attempts, job_log, titles, titles_sql
 from .derive import table as src
@@ -213,10 +214,33 @@ def q_trace_build(spark, d):
     return o.join(a, ["file_id", "chunk"], "left").select("file_id", "chunk", "outcome", "attempts", F.when(F.col("outcome") == "merged", F.col("words")).alias("aligned"))
 
 
-@query("SELECT 1 AS version, sha256('prompt') AS prompt_sha, (SELECT count(*) FROM events) AS tries, (SELECT count(DISTINCT user_id) FROM events) AS files")
-def q_trace_header(spark, d):
+def trace_texts(spark, d):
+    """(file_id, value): a trace for each user, whose chunks are events; usage has other fields for each kind, and some traces are cut off."""
     e = src(spark, d, "events")
-    return e.agg(F.count(F.lit(1)).alias("tries"), F.countDistinct("user_id").alias("files")).select(F.lit(1).alias("version"), F.sha2(F.lit("prompt").cast("binary"), 256).alias("prompt_sha"), "tries", "files")
+    named = lambda name, kind, value: F.when(F.col("event_type") == kind, F.concat(F.lit(f'"{name}":'), value.cast("string")))
+    n = F.col("event_id") % 97
+    usage = F.concat_ws(",", named("prompt_tokens", "view", n), named("completion_tokens", "click", n * 2), named("cost", "purchase", n / 8), named("tier", "signup", F.lit('"x"')), F.concat(F.lit('"calls":'), (n % 3).cast("string")))
+    chunk = F.concat(F.lit('{"idx":'), F.col("event_id").cast("string"), F.lit(',"outcome":"merged","attempts":[{"n":1,"usage":{'), usage, F.lit("}}]}"))
+    body = F.array_join(F.sort_array(F.collect_list(chunk)), ",")
+    value = F.concat(F.lit('{"version":1,"meta":{"model":"m'), (F.col("user_id") % 3).cast("string"), F.lit('","duration_sec":2.5},"chunks":['), body, F.when(F.col("user_id") % 7 == 0, "").otherwise("]}"))
+    return e.groupBy("user_id").agg(value.alias("value")).select(F.col("user_id").alias("file_id"), "value")
+
+
+@query("""WITH e AS (SELECT user_id % 3 AS m, event_type AS t, event_id % 97 AS n FROM events WHERE user_id % 7 <> 0),
+u AS (SELECT m, 'calls' AS name, (n % 3)::DOUBLE AS v FROM e UNION ALL SELECT m, 'prompt_tokens', n FROM e WHERE t = 'view' UNION ALL SELECT m, 'completion_tokens', n * 2 FROM e WHERE t = 'click' UNION ALL SELECT m, 'cost', n / 8 FROM e WHERE t = 'purchase' UNION ALL SELECT m, 'tier', NULL FROM e WHERE t = 'signup')
+SELECT 'm' || m AS model, name, count(*) AS tries, sum(v) AS amount FROM u GROUP BY ALL""")
+def q_trace_usage(spark, d):
+    """What each model's traces say they used, by name, whatever names there are."""
+    t = TR.header(TR.parsed(trace_texts(spark, d), "value")).select("trace", F.col("model").alias("of"))
+    return TR.usage_entries(TR.attempts(t)).groupBy(F.col("of").alias("model"), "name").agg(F.count(F.lit(1)).alias("tries"), F.sum("amount").alias("amount"))
+
+
+@query("""SELECT user_id AS file_id, CASE WHEN user_id % 7 <> 0 THEN 1 END AS version, CASE WHEN user_id % 7 <> 0 THEN 'm' || user_id % 3 END AS model, CASE WHEN user_id % 7 <> 0 THEN 2500 END AS dur_ms, CASE WHEN user_id % 7 <> 0 THEN count(*) ELSE 0 END AS chunks, CASE WHEN user_id % 7 <> 0 THEN max(event_id) END AS last_idx FROM events GROUP BY user_id""")
+def q_trace_header(spark, d):
+    """The run's fields of every trace; a trace that is cut off is there with nulls."""
+    t = TR.header(TR.parsed(trace_texts(spark, d), "value")).select("file_id", "trace", "version", "model", F.rint(F.col("duration_sec") * 1000).cast("long").alias("dur_ms"))
+    c = TR.chunks(t.select("file_id", "trace")).groupBy("file_id").agg(F.count("idx").alias("chunks"), F.max("idx").alias("last_idx"))
+    return t.drop("trace").join(c, "file_id", "left").select("file_id", "version", "model", "dur_ms", F.coalesce("chunks", F.lit(0)).alias("chunks"), "last_idx")
 
 
 @query("WITH " + ATTEMPTS + " SELECT event_id, CAST(round_even(CASE WHEN a > w THEN least(120000.0, a) ELSE w END, 0) AS BIGINT) AS wait_ms FROM (SELECT event_id, least(120000.0::DOUBLE, 8000 * power(2.0, n - 1)) AS w, CASE WHEN http IN ('429', '503') THEN TRY_CAST(trim(ra) AS DOUBLE) * 1000 END AS a FROM (SELECT event_id, n, CASE WHEN event_id % 3 = 0 THEN '429' WHEN event_id % 3 = 1 THEN '503' ELSE '500' END AS http, CASE WHEN event_id % 7 = 0 THEN 'Wed, 21 Oct 2015 07:28:00 GMT' ELSE ' ' || event_id % 200 END AS ra FROM tries))")
@@ -261,10 +285,19 @@ def q_raw_transcript(spark, d):
     return c.groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: x["text"]), "\n").alias("transcript"))
 
 
-@query("SELECT b AS backend, o AS output, g AS has_gpu, o = 'txt' OR b = 'mai' OR g AS allowed FROM (VALUES ('router'), ('mai'), ('vertex')) x(b), (VALUES ('txt'), ('srt')) y(o), (VALUES (true), (false)) z(g)")
+def job_requests(spark, d):
+    """(event_id, backend, output, has_gpu): what each event asks for."""
+    e = src(spark, d, "events")
+    backend = F.when(F.col("event_type").isin("view", "click"), "router").when(F.col("event_type") == "purchase", "mai").otherwise("vertex")
+    return e.select("event_id", backend.alias("backend"), F.when(F.col("event_id") % 2 == 0, "srt").otherwise("txt").alias("output"), (F.col("user_id") % 3 == 0).alias("has_gpu"))
+
+
+REQUESTS = "r AS (SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'router' WHEN event_type = 'purchase' THEN 'mai' ELSE 'vertex' END AS backend, CASE WHEN event_id % 2 = 0 THEN 'srt' ELSE 'txt' END AS output, user_id % 3 = 0 AS has_gpu FROM events)"
+
+
+@query("WITH " + REQUESTS + " SELECT *, output = 'txt' OR backend = 'mai' OR has_gpu AS allowed FROM r")
 def q_output_gate(spark, d):
-    b = spark.createDataFrame([(b, o, g) for b in ("router", "mai", "vertex") for o in ("txt", "srt") for g in (True, False)], "backend string, output string, has_gpu boolean")
-    return b.withColumn("allowed", M.output_allowed(F.col("backend"), F.col("output"), F.col("has_gpu")))
+    return job_requests(spark, d).withColumn("allowed", M.output_allowed(F.col("backend"), F.col("output"), F.col("has_gpu")))
 
 
 @query("SELECT event_id, CASE WHEN s BETWEEN 200 AND 299 THEN 'ok' WHEN s = 401 THEN 'bad key' WHEN s = 403 AND event_id % 2 = 0 THEN 'ok' WHEN s = 0 THEN 'unreachable' ELSE 'unexpected' END AS class FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 204 WHEN 2 THEN 401 WHEN 3 THEN 403 ELSE 500 END AS s FROM events)")
@@ -273,10 +306,9 @@ def q_probe_class(spark, d):
     return e.select("event_id", M.probe_class(F.when(F.col("event_id") % 2 == 0, "router").otherwise("mai"), F.col("s")).alias("class"))
 
 
-@query("SELECT b AS backend, o AS output, CASE WHEN b = 'vertex' THEN CASE WHEN o = 'srt' THEN 'stage>transcribe>align' ELSE 'stage>transcribe' END WHEN o = 'srt' THEN 'transcribe>build srt' ELSE 'transcribe' END AS steps FROM (VALUES ('router'), ('mai'), ('vertex')) x(b), (VALUES ('txt'), ('srt')) y(o)")
+@query("WITH " + REQUESTS + " SELECT event_id, CASE WHEN backend = 'vertex' THEN CASE WHEN output = 'srt' THEN 'stage>transcribe>align' ELSE 'stage>transcribe' END WHEN output = 'srt' THEN 'transcribe>build srt' ELSE 'transcribe' END AS steps FROM r")
 def q_step_chain(spark, d):
-    b = spark.createDataFrame([(b, o) for b in ("router", "mai", "vertex") for o in ("txt", "srt")], "backend string, output string")
-    return b.withColumn("steps", M.step_chain(F.col("backend"), F.col("output")))
+    return job_requests(spark, d).select("event_id", M.step_chain(F.col("backend"), F.col("output")).alias("steps"))
 
 
 STAGE = "CASE WHEN contains(line, '[1/4]') THEN 'prepare' WHEN contains(line, '[2/4]') THEN 'plan' WHEN contains(line, '[3/4]') THEN 'transcribe' WHEN contains(line, '[4/4]') THEN 'assemble' END"
