@@ -171,7 +171,7 @@ def tree(rows: DataFrame, group: str, order: list[Column], leaf: str, out: str,
     )
     upper = upper.select(F.col("g").alias("_g"), F.col("level").alias("_level"), F.col("idx").alias("_idx"), F.col("path").alias("_path"), F.col("root").alias("_root"))
     same = (leaves[group] == upper["_g"]) & (leaves[level] == upper["_level"]) & (leaves[idx] == upper["_idx"])
-    return leaves.join(upper, same).select(*[leaves[f"`{c}`"] for c in columns], F.concat(leaves[steps], "_path").alias(f"{out}_path"), F.col("_root").alias(f"{out}_root"))
+    return leaves.join(upper, same).select(*[leaves[f"`{c}`"] for c in columns], F.concat(leaves[steps], upper["_path"]).alias(f"{out}_path"), upper["_root"].alias(f"{out}_root"))
 
 
 def _climb(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
@@ -245,9 +245,10 @@ def proofs(docs: DataFrame, local: int = LOCAL, band: int = BAND) -> DataFrame:
     # A null source sorts before all others, and the mark keeps it apart from an empty one.
     marked = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
     rows = materialize(docs.withColumn(group, marked), "leaves")
-    low = tree(rows, group, [F.col("doc_id").asc_nulls_first()], "leaf", "low", local, band)
-    low = materialize(low, "low")
-    tops = low.groupBy(F.col(group).alias("src")).agg(F.first("low_root").alias("leaf")).withColumn("all", F.lit("all"))
-    high = tree(materialize(tops, "subroots"), "all", [F.col("src")], "leaf", "high", local, band).select(F.col("src").alias(group), "high_path", "high_root")
+    low_out, high_out = (free_name([c.removesuffix("_path").removesuffix("_root") for c in taken], n) for n in ("low", "high"))
+    low = materialize(tree(rows, group, [F.col("doc_id").asc_nulls_first()], "leaf", low_out, local, band), "low")
+    tops = low.groupBy(F.col(group).alias("src")).agg(F.first(f"{low_out}_root").alias("leaf")).withColumn("all", F.lit("all"))
+    high = tree(materialize(tops, "subroots"), "all", [F.col("src")], "leaf", high_out, local, band).select(F.col("src").alias(group), f"{high_out}_path", f"{high_out}_root")
+    both = F.concat(f"{low_out}_path", f"{high_out}_path")
     columns = [F.col(f"`{c}`") for c in taken]
-    return low.join(high, group).select(*columns, F.concat("low_path", "high_path").alias(path), F.col("low_root").alias(subroot), F.col("high_root").alias(root))
+    return low.join(high, group).select(*columns, both.alias(path), F.col(f"{low_out}_root").alias(subroot), F.col(f"{high_out}_root").alias(root))
