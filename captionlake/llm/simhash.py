@@ -17,6 +17,7 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -277,37 +278,91 @@ def _similar(a: str, b: str, share: float) -> str:
     return f"({near} AND {both} >= {share} * (size({a}) + size({b}) - {both}))"
 
 
-def _leaders(members: DataFrame, share: float) -> DataFrame:
+def _entries(members: DataFrame, share: float, cells: int = 1 << 20) -> DataFrame:
+    """(root, token, key, h, size, inner): the members (root, key, h, sh) by the rarest of their shingles, enough of them that two
+    members of a component whose similarity is `share` or more have one in common.
+
+    Of two such members the smaller one has it among its `inner` shingles, which are fewer still (prefix and index prefix of
+    a similarity join). Rare is what has few shingles in its cell of a table of `cells` counts: a bounded stand-in for
+    exact counts that puts what all texts of a form share last; the order only has to be one order for all texts.
+    """
+    seen = members.select(F.explode("sh").alias("t")).groupBy(F.expr(f"t & {cells - 1}").alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(cells, np.int64)
+    counts[seen.column(0).to_numpy()] = seen.column(1).to_numpy()
+    held = members.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            tokens, inner = [], []
+            for sh in part.column(3):
+                t = np.asarray(sh.values.to_numpy())
+                n = len(t)
+                near = n - math.ceil(share * n - 1e-9) + 1
+                own = n - math.ceil(2 * share / (1 + share) * n - 1e-9) + 1
+                # Texts without words have no shingle and are equal: they meet under one of their own.
+                first = t[np.lexsort((t, held.value[t & (cells - 1)]))[:near]] if n else np.zeros(1, np.int64)
+                tokens.append(first)
+                inner.append(np.arange(len(first)) < own)
+            sizes = pa.array([len(x) for x in part.column(3)], pa.int64())
+            lists = [pa.array(tokens, pa.list_(pa.int64())), pa.array(inner, pa.list_(pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), sizes, *lists], ["root", "key", "h", "size", "t", "i"])
+
+    rows = members.select("root", "key", "h", "sh").mapInArrow(run, "root long, key long, h long, size long, t array<long>, i array<boolean>")
+    rows = rows.select("root", "key", "h", "size", F.explode(F.arrays_zip("t", "i")).alias("x"))
+    return rows.select("root", F.col("x.t").alias("token"), "key", "h", "size", F.col("x.i").alias("inner"))
+
+
+def _verified(pairs: DataFrame, members: DataFrame, share: float) -> DataFrame:
+    """The pairs (a, b) whose texts are similar."""
+    sh = members.select("h", "sh")
+    both = pairs.join(sh.withColumnsRenamed({"h": "a", "sh": "sa"}), "a").join(sh.withColumnsRenamed({"h": "b", "sh": "sb"}), "b")
+    return both.where(_similar("sa", "sb", share)).select("a", "b")
+
+
+def _stay(members: DataFrame, share: float) -> DataFrame:
     """(key, h) of the members (root, key, h, sh) that stay: in the order of key and h, a member goes if it is similar to one of its
     component that stays.
 
-    A round takes the next members of every component as leaders, twice as many as the round before, sorts out those that
-    are similar to an earlier one, and compares all that are left with them. One round is enough where a component is one
-    text with edited copies; nothing but a round's leaders is gathered.
+    Members meet by rare shingles (``_entries``), never by component. In a round the first member of each shingle's bucket is
+    looked at: who is first in all its buckets stays, whoever shares a bucket with it is compared with it, and the similar
+    ones go; who meets nobody stays. A group of copies is settled in one round, however large, with one pair for each copy.
+    When a round settles less than half of what was left, which are members that share rare shingles without being similar,
+    the rest is compared in pairs by bucket, and the similar pairs are settled in order. All of it are joins and aggregates
+    that Spark can split; nothing is gathered by component, shingle or text.
     """
-    kept, many = None, 1
-    while True:
-        order = Window.partitionBy("root").orderBy("key", "h")
-        # The few first of each component: a min by aggregate, so that a large component is not sorted in one task.
-        if many == 1:
-            first = members.groupBy("root").agg(F.min(F.struct("key", "h")).alias("x")).select("root", "x.key", "x.h")
-        else:
-            spread = members.select("root", "key", "h", (F.col("h") % 64).alias("salt"))
-            near = Window.partitionBy("root", "salt").orderBy("key", "h")
-            first = spread.withColumn("n", F.row_number().over(near)).where(f"n <= {many}").withColumn("n", F.row_number().over(order)).where(f"n <= {many}").select("root", "key", "h")
-        first = materialize(first, "first")
-        lead = members.join(first, ["root", "key", "h"]).groupBy("root").agg(F.array_sort(F.collect_list(F.struct("key", "h", "sh"))).alias("x"))
-        if many > 1:
-            none = "filter(x, y -> false)"
-            lead = lead.withColumn("x", F.expr(f"aggregate(x, {none}, (a, y) -> if(exists(a, z -> {_similar('y.sh', 'z.sh', share)}), a, concat(a, array(y))))"))
-        lead = materialize(lead, "leaders")
-        stay = lead.select(F.explode("x").alias("x")).select("x.key", "x.h")
+    entries = materialize(_entries(members, share), "entries")
+    left = materialize(members.select("key", "h"), "undecided")
+    n, kept = left.count(), None
+    met = F.expr("(inner OR m.inner)") & F.expr(f"least(size, m.size) >= {share} * greatest(size, m.size)")
+    while n:
+        first = entries.groupBy("root", "token").agg(F.min(F.struct("key", "h", "size", "inner")).alias("m"), F.count(F.lit(1)).alias("c"), F.max("inner").alias("any")).where("c > 1 AND any")
+        tagged = materialize(entries.join(materialize(first.drop("c", "any"), "first"), ["root", "token"]), "buckets")
+        order = materialize(tagged.groupBy("h").agg(F.bool_and(F.expr("m.h = h")).alias("first")), "order")
+        stay = left.join(order, "h", "left").where("first IS NULL OR first").select("key", "h")
+        stay = materialize(stay, "stay")
         kept = stay if kept is None else kept.union(stay)
-        left = members.join(lead, "root").where(f"NOT exists(x, y -> {_similar('y.sh', 'sh', share)})").drop("x")
-        members = materialize(left, "members")
-        if members.isEmpty():
-            return kept
-        many *= 2
+        pairs = tagged.where(met & F.expr("m.h <> h")).select(F.col("m.h").alias("a"), F.col("h").alias("b"))
+        pairs = materialize(pairs.join(stay.select(F.col("h").alias("a")), "a", "left_semi").distinct(), "pairs")
+        gone = materialize(_verified(pairs, members, share).select(F.col("b").alias("h")).distinct(), "gone")
+        left = materialize(left.join(stay.select("h").union(gone), "h", "left_anti"), "undecided")
+        entries = materialize(tagged.drop("m").join(left.select("h"), "h", "left_semi"), "entries")
+        before, n = n, left.count()
+        if 2 * n > before:
+            break
+    if n:
+        other = entries.select("root", "token", F.struct("key", "h", "size", "inner").alias("m"))
+        pairs = entries.join(other, ["root", "token"]).where(met & F.expr("struct(m.key, m.h) < struct(key, h)")).select(F.col("m.h").alias("a"), F.col("h").alias("b")).distinct()
+        links = materialize(_verified(materialize(pairs, "pairs"), members, share), "links")
+        while n:  # who has no smaller similar member left stays, and those similar to it go
+            behind = links.select(F.col("b").alias("h")).distinct()
+            stay = materialize(left.join(behind, "h", "left_anti"), "stay")
+            kept = kept.union(stay)
+            gone = materialize(links.join(stay.select(F.col("h").alias("a")), "a", "left_semi").select(F.col("b").alias("h")).distinct(), "gone")
+            left = materialize(left.join(stay.select("h").union(gone), "h", "left_anti"), "undecided")
+            out = gone.select(F.col("h").alias("a"))
+            links = materialize(links.join(out, "a", "left_anti").join(out.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b"), "links")
+            n = left.count()
+    return kept if kept is not None else members.select("key", "h")
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -364,7 +419,7 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
     sh = docs.select(text_hash().alias("h"), text.alias("text")).withColumn("f", F.xxhash64("h")).mapInArrow(shingles, "h long, sh array<long>")
     sh = sh.groupBy("h").agg(F.first("sh").alias("sh"))  # equal texts have equal shingles
     members = materialize(members.join(materialize(sh, "shingles"), "h").select("root", "key", "h", "sh"), "members")
-    kept = materialize(_leaders(members, share), "kept")
+    kept = materialize(_stay(members, share), "kept")
     gone = members.select("h").join(kept, "h", "left_anti").withColumn("key", F.lit(0).cast("long")).withColumn("n", F.lit(0).cast("long"))
     repeated = nodes.where("n > 1").join(members.select("h").join(kept, "h", "left_anti"), "h", "left_anti").select("h", "key", "n")
     special = materialize(gone.select("h", "key", "n").union(repeated), "special")

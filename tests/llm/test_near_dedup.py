@@ -30,7 +30,7 @@ def brute_kept(texts, budget=3, share=0.8):
         first.setdefault(t or "", k)
     ids, own = list(first.values()), list(first)
     up = list(range(len(own)))
-    for seed in (42, 43, 44):
+    for seed in (42, 43, 44, 45, 46):
         fps = [word_fp(t, seed) for t in own]
         for a, b in enumerate(brute_classes(fps, budget)):
             x, y = up[a], up[b]
@@ -50,11 +50,23 @@ def edited(rnd, text, n):
     return " ".join(w)
 
 
+def late_pair(rnd):
+    """Two similar texts that only one of the last two seeds links."""
+    while True:
+        a = " ".join(rnd.choice(WORDS) for _ in range(120))
+        b = edited(rnd, a, 2)
+        near = [(word_fp(a, s) ^ word_fp(b, s)).bit_count() <= 3 for s in range(42, 47)]
+        x, y = shingles(a), shingles(b)
+        if not any(near[:3]) and any(near[3:]) and len(x & y) >= 0.8 * len(x | y):
+            return [a, b]
+
+
 def corpus(rnd):
     bases = [" ".join(rnd.choice(WORDS) for _ in range(rnd.choice([60, 150, 400]))) for _ in range(8)]
     texts = [*bases, *ODD, *(edited(rnd, b, n) for b in bases for n in (1, 2, 3, 6, 12)), bases[0], bases[0].upper()]
     # One component with texts that are not similar to each other: shared words in another order.
     texts += [" ".join(rnd.sample(WORDS, len(WORDS))) for _ in range(9)]
+    texts += late_pair(rnd)
     rnd.shuffle(texts)
     return texts
 
@@ -89,3 +101,55 @@ def test_hub(spark):
     chain = spark.range(200_000, 200_200).selectExpr("id AS a", "id + 1 AS b")
     got = connected_components(hub.union(chain)).groupBy("root").count().orderBy("root").collect()
     assert [(r.root, r["count"]) for r in got] == [(0, 100_000), (200_000, 201)]
+
+
+def form_letters(rnd, n):
+    """Letters of 40 words of which one differs, so that no two have a similarity of 0.8, and all are one component."""
+    form = [rnd.choice(WORDS) for _ in range(40)]
+    return [" ".join([*form[:20], f"name{k}", *form[21:]]) for k in range(n)]
+
+
+def stays(spark, sets, share=0.8, parts=4):
+    rows = [(1, k, k, sorted(s)) for k, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "root long, key long, h long, sh array<long>").repartition(parts)
+    return sorted(r.h for r in simhash._stay(members, share).collect())
+
+
+def greedy(sets, share=0.8):
+    kept = []
+    for k, s in enumerate(sets):
+        if not any(len(s & sets[j]) >= share * len(s | sets[j]) for j in kept):
+            kept.append(k)
+    return kept
+
+
+def test_stay_against_greedy(spark):
+    """Chains, stars, nested sizes, empty sets, and members that share rare shingles without being similar."""
+    rnd = random.Random(31)
+    for case in range(4):
+        sets = []
+        for _ in range(6):
+            base = {rnd.randrange(1, 1 << 40) for _ in range(rnd.choice([3, 12, 40]))}
+            for _ in range(rnd.randint(1, 12)):
+                s = set(base)
+                for _ in range(rnd.randint(0, 6)):
+                    s.discard(rnd.choice(sorted(s))) if s and rnd.random() < 0.5 else s.add(rnd.randrange(1, 1 << 40))
+                sets.append(s)
+                base = s if case % 2 else base
+        if case >= 2:  # one rare shingle in common, everything else apart
+            sets += [{7, *(rnd.randrange(1 << 41, 1 << 50) for _ in range(6))} for _ in range(25)]
+        sets += [set(), set()]
+        rnd.shuffle(sets)
+        assert stays(spark, sets) == greedy(sets), case
+
+
+def test_form_letters(spark):
+    """Twenty thousand letters of one component, none similar to another: all stay, and nothing is gathered."""
+    import time
+
+    rnd = random.Random(32)
+    texts = form_letters(rnd, 20_000)
+    sets = [[int(x) for x in simhash.shingle_hashes(t, 5).view("int64")] for t in texts]
+    began = time.perf_counter()
+    assert stays(spark, map(set, sets)) == list(range(20_000))
+    assert time.perf_counter() - began < 180
