@@ -9,6 +9,9 @@ Items are given to tasks in blocks of at most ``block_words`` words, so that wha
 the size of the benchmark. Where there are several blocks, documents are read once with a filter of all seeds (128 MB at
 most); the few that may share one are written, and only these meet the blocks. No document is shuffled.
 
+Tiling takes memory for each word, not for each pair of equal words: a text that says one word 200,000 times is no heavier
+than another of its length.
+
 Edge cases: null and empty texts and items match nothing; items with fewer words than ``least`` have no seed and are
 reported by none (call with a smaller ``least`` for them: words as short as that stand in clean texts too); of matches of
 equal length the first in the item, then in the document, is marked; repeated items and repeated rows are reported each;
@@ -52,38 +55,84 @@ def rolling(ids: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+class Windows:
+    """Hashes of all windows of a text's words, of whatever length, and which words are taken by a tile."""
+
+    def __init__(self, ids: np.ndarray, taken: np.ndarray, power: np.ndarray):
+        self.ids, self.taken, self.power = ids, taken.copy(), power
+        mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        self.sums = np.zeros(len(ids) + 1, np.uint64)
+        # sum of mixed[k] * BASE**k: windows are compared after lifting them to one exponent, which needs no loop.
+        np.cumsum(mixed * power[: len(ids)], out=self.sums[1:])
+
+    def free(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the windows of `size` words of which none is taken."""
+        used = np.concatenate(([0], np.cumsum(self.taken)))
+        starts = np.flatnonzero(used[size:] == used[: len(used) - size])
+        return starts, (self.sums[starts + size] - self.sums[starts]) * self.power[len(self.power) - 1 - starts]
+
+    def is_free(self, start: int, size: int) -> bool:
+        return not self.taken[start : start + size].any()
+
+
+def _mark(doc: Windows, item: Windows, size: int) -> Iterator[tuple[int, int]]:
+    """Take the matches of `size` words that are free in both, first in the item, then in the document; gives (start in doc, start in item)."""
+    places, hashes = doc.free(size)
+    order = np.argsort(hashes, kind="stable")
+    places, hashes = places[order], hashes[order]
+    starts, wanted = item.free(size)
+    lo, hi = np.searchsorted(hashes, wanted, "left"), np.searchsorted(hashes, wanted, "right")
+    past: dict[int, int] = {}  # places before it are taken
+    for b, first, end in zip(starts[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+        if not item.is_free(b, size):
+            continue
+        at = past.get(first, first)
+        while at < end and not doc.is_free(places[at], size):
+            at += 1
+        past[first] = at
+        while at < end:
+            a = int(places[at])
+            if doc.is_free(a, size) and np.array_equal(doc.ids[a : a + size], item.ids[b : b + size]):
+                doc.taken[a : a + size] = True
+                item.taken[b : b + size] = True
+                yield a, b
+                break
+            at += 1
+
+
 def tile(doc: np.ndarray, item: np.ndarray, least: int = 5) -> list[tuple[int, int, int]]:
-    """Greedy tiles (start in doc, start in item, length), longest first; ties by start in the item, then in the document."""
-    starts = np.argsort(item_hash := rolling(item, least), kind="stable")
-    at = item_hash[starts]
-    doc_hash = rolling(doc, least)
-    lo, hi = np.searchsorted(at, doc_hash, "left"), np.searchsorted(at, doc_hash, "right")
-    n = hi - lo
-    i = np.repeat(np.arange(len(doc_hash)), n)
-    j = starts[np.repeat(lo, n) + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)]
-    same = np.ones(len(i), bool)
-    for k in range(least):
-        same &= doc[i + k] == item[j + k]
-    i, j = i[same], j[same]
-    free_doc, free_item, tiles = np.ones(len(doc), bool), np.ones(len(item), bool), []
-    while len(i):
-        # Runs of seeds on a diagonal are matches; each seed is checked against what is marked already.
-        order = np.lexsort((i, i - j))
-        i, j = i[order], j[order]
-        new = np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))
-        run = np.flatnonzero(new)
-        size = np.diff(np.append(run, len(i))) + least - 1
-        longest = size.max()
-        best = run[size == longest]
-        best = best[np.lexsort((i[best], j[best]))]
-        for a, b in zip(i[best].tolist(), j[best].tolist()):
-            if free_doc[a : a + longest].all() and free_item[b : b + longest].all():
-                free_doc[a : a + longest] = False
-                free_item[b : b + longest] = False
-                tiles.append((a, b, int(longest)))
-        used_doc, used_item = np.concatenate(([0], np.cumsum(~free_doc))), np.concatenate(([0], np.cumsum(~free_item)))
-        keep = (used_doc[i + least] == used_doc[i]) & (used_item[j + least] == used_item[j])
-        i, j = i[keep], j[keep]
+    """Greedy tiles (start in doc, start in item, length), longest first; ties by start in the item, then in the document.
+
+    The longest match is found by halving: whether some free window of a length stands in both texts is asked of the
+    windows' hashes. Memory is a few numbers for each word, however often words repeat.
+    """
+    seeds = rolling(doc, least)
+    hit = np.flatnonzero(np.isin(seeds, rolling(item, least)))
+    if not len(hit):
+        return []
+    # Words in no common seed are in no match: what is left of the document, with a break wherever some are missing.
+    near = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(near, hit, 1)
+    np.add.at(near, hit + least, -1)
+    place = np.flatnonzero(np.cumsum(near)[:-1])
+    breaks = np.flatnonzero(np.diff(place) != 1) + 1
+    place = np.insert(place, breaks, -1)
+    words_left = np.where(place < 0, -2, doc[place])
+    with np.errstate(over="ignore"):
+        power = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(len(place), len(item)), BASE, np.uint64))))
+        left, right = Windows(words_left, place < 0, power), Windows(item, np.zeros(len(item), bool), power)
+        tiles, most = [], min(len(item), int(np.diff(np.concatenate(([-1], np.flatnonzero(place < 0), [len(place)]))).max()) - 1)
+        while most >= least:
+            low = least - 1
+            while low < most:
+                size = (low + most + 1) // 2
+                if np.isin(right.free(size)[1], left.free(size)[1]).any():
+                    low = size
+                else:
+                    most = size - 1
+            if most >= least:
+                tiles += [(int(place[a]), b, most) for a, b in _mark(left, right, most)]
+            most -= 1
     return tiles
 
 
@@ -207,17 +256,26 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, leas
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least: int = 5, block_words: int = 1_000_000) -> DataFrame:
-    """The rows of docs in which no item is. Documents are read once: the blocks' checks follow each other in one stage."""
+    """The rows of docs in which no item is. With one block of items documents are read once; with several the texts that hold an
+    item are found block by block (``contaminated``), and the rows that have one of these texts go by a join on its hash."""
     spark, text = docs.sparkSession, free_name(docs.columns, "plain")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    blocks = _blocks((tuple(r) for r in _plain(items).toLocalIterator()), block_words)
+    block, more = next(blocks, None), next(blocks, None) is not None
+    blocks.close()
+    if block is None:
+        return docs
+    if more:
+        mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+        found = contaminated(docs.select(mark.alias("doc_id"), "text"), items, threshold, least, block_words)
+        bad = materialize(found.select(F.col("doc_id").alias(text)).distinct(), "contaminated")
+        return docs.join(bad, mark == bad[text], "left_anti")
+    held = spark.sparkContext.broadcast(block)
     docs = docs.withColumn(text, F.col("text").cast("string"))
-    for block in _blocks((tuple(r) for r in _plain(items).toLocalIterator()), block_words):
-        held = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            known = Items(held.value, least)
-            for batch in batches:
-                yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column(text)], pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Items(held.value, least)
+        for batch in batches:
+            yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column(text)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs.select(*columns)
+    return docs.mapInArrow(run, docs.schema).select(*columns)
