@@ -223,17 +223,47 @@ def two_passes(spark, d):
     return a.withColumnRenamed("chunk", "file_id"), b.withColumnRenamed("chunk", "file_id")
 
 
-@query()
+#: The longest common run, first in a and then in b of equals, then the same on both sides of it; runs are looked up by file.
+DIFF = "WITH RECURSIVE " + PASSES.strip().removeprefix("WITH ") + """,
+xa AS (SELECT chunk AS f, w, row_number() OVER (PARTITION BY chunk ORDER BY pos) - 1 AS i FROM pa), xb AS (SELECT chunk AS f, w, row_number() OVER (PARTITION BY chunk ORDER BY pos) - 1 AS j FROM pb),
+fl AS (SELECT f, na, nb FROM (SELECT f, count(*) AS na FROM xa GROUP BY f) JOIN (SELECT f, count(*) AS nb FROM xb GROUP BY f) USING (f)),
+eq AS (SELECT f, i, i - j AS d, i - row_number() OVER (PARTITION BY f, i - j ORDER BY i) AS g FROM xa JOIN xb USING (f, w)),
+run AS (SELECT f, d, min(i) AS i0, max(i) + 1 AS i1 FROM eq GROUP BY f, d, g),
+seg AS (
+  SELECT f, 0::BIGINT AS a1, na::BIGINT AS a2, 0::BIGINT AS b1, nb::BIGINT AS b2, false AS hit FROM fl
+  UNION ALL
+  SELECT f, s.a1, s.a2, s.b1, s.b2, s.hit FROM (
+    SELECT f, unnest([{'a1': a1, 'a2': m.i, 'b1': b1, 'b2': m.i - m.d, 'hit': false}, {'a1': m.i + m.n, 'a2': a2, 'b1': m.i - m.d + m.n, 'b2': b2, 'hit': false}, {'a1': m.i, 'a2': m.i + m.n, 'b1': m.i - m.d, 'b2': m.i - m.d + m.n, 'hit': true}]) AS s FROM (
+      SELECT f, a1, a2, b1, b2, arg_max({'i': greatest(i0, a1, b1 + d), 'd': d, 'n': least(i1, a2, b2 + d) - greatest(i0, a1, b1 + d)},
+        (least(i1, a2, b2 + d) - greatest(i0, a1, b1 + d)) * 1000000000000 - greatest(i0, a1, b1 + d) * 1000000 - (greatest(i0, a1, b1 + d) - d)) AS m
+      FROM (SELECT * FROM seg WHERE NOT hit AND a1 < a2 AND b1 < b2) x JOIN run USING (f) WHERE least(i1, a2, b2 + d) > greatest(i0, a1, b1 + d) GROUP BY f, a1, a2, b1, b2))
+),
+ma AS (SELECT f, a1 AS i, b1 AS j, a2 - a1 AS n FROM seg WHERE hit UNION ALL SELECT f, na, nb, 0 FROM fl),
+ga AS (SELECT *, coalesce(lag(i + n) OVER o, 0) AS i0, coalesce(lag(j + n) OVER o, 0) AS j0 FROM ma WINDOW o AS (PARTITION BY f ORDER BY i, n DESC)),
+op AS (SELECT f, CASE WHEN i = i0 THEN 'insert' WHEN j = j0 THEN 'delete' ELSE 'replace' END AS kind, i0 AS i1, i AS i2, j0 AS j1, j AS j2 FROM ga WHERE i > i0 OR j > j0
+  UNION ALL SELECT f, 'equal', min(i), max(i + n), min(j), max(j + n) FROM (SELECT *, sum((i > i0 OR j > j0)::INT) OVER (PARTITION BY f ORDER BY i, n DESC) AS g FROM ga) WHERE n > 0 GROUP BY f, g),
+wa AS (SELECT f, list(w ORDER BY i) AS wa FROM xa GROUP BY f), wb AS (SELECT f, list(w ORDER BY j) AS wb FROM xb GROUP BY f),
+diff AS (SELECT f AS file_id, row_number() OVER (PARTITION BY f ORDER BY i1, j1, i2) - 1 AS k, kind, i1, i2, j1, j2,
+  CASE WHEN kind = 'equal' THEN '' ELSE array_to_string(wa[i1 + 1:i2], ' ') END AS a, CASE WHEN kind = 'equal' THEN '' ELSE array_to_string(wb[j1 + 1:j2], ' ') END AS b FROM op JOIN wa USING (f) JOIN wb USING (f))"""
+
+
+@query(DIFF + " SELECT * FROM diff")
 def q_pass_diff(spark, d):
     return QC.pass_diff(*two_passes(spark, d))
 
 
-@query()
+@query(DIFF + """ SELECT file_id, CAST(sum(CASE WHEN kind = 'equal' THEN i2 - i1 ELSE 0 END) AS BIGINT) AS same, CAST(sum(CASE WHEN kind <> 'equal' THEN i2 - i1 ELSE 0 END) AS BIGINT) AS a_only,
+  CAST(sum(CASE WHEN kind <> 'equal' THEN j2 - j1 ELSE 0 END) AS BIGINT) AS b_only, count(*) FILTER (kind <> 'equal') AS blocks FROM diff GROUP BY file_id""")
 def q_pass_agreement(spark, d):
     return QC.agreement(q_pass_diff(spark, d))
 
 
-@query()
+ESCAPED = lambda c: f"replace(replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;')"
+SAID = lambda c: f"CASE mark WHEN 'eq' THEN {ESCAPED(c)} ELSE CASE mark WHEN 'major' THEN '<span class=\"badge\">' || no || '</span>' ELSE '' END || CASE WHEN {c} = '' THEN '<i>(none)</i>' ELSE {ESCAPED(c)} END END"
+
+
+@query(DIFF + f""", mk AS (SELECT *, CASE WHEN kind = 'equal' THEN 'eq' WHEN greatest(i2 - i1, j2 - j1) >= 4 THEN 'major' ELSE 'minor' END AS mark FROM diff), nm AS (SELECT *, sum((mark = 'major')::INT) OVER (PARTITION BY file_id ORDER BY k) AS no FROM mk)
+SELECT file_id, k, '<tr class="' || mark || '"' || CASE mark WHEN 'major' THEN ' id="d' || no || '"' ELSE '' END || '><td class="a">' || {SAID('a')} || '</td><td class="b">' || {SAID('b')} || '</td></tr>' AS html FROM nm""")
 def q_diff_html(spark, d):
     return QC.diff_rows_html(q_pass_diff(spark, d))
 

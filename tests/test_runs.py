@@ -43,6 +43,30 @@ def test_pass_diff(spark):
     assert (r.same, r.a_only, r.b_only, r.blocks) == (4, 2, 3, 3)
 
 
+def test_pass_diff_of_many(spark):
+    """Repetitive and ordinary passes of many files, in the standard library's terms; one empty pass, and a word that repeats and repeats."""
+    import random
+
+    rnd = random.Random(8)
+    a, b, want = [], [], {}
+    for f in range(60):
+        words = [f"w{k}" for k in range(rnd.choice([1, 2, 4, 30, 200]))]
+        x = [rnd.choice(words) for _ in range(rnd.randint(1, 80))]
+        y = [rnd.choice(words) if rnd.random() < 0.2 else w for w in x if rnd.random() < 0.9] + [rnd.choice(words) for _ in range(rnd.randint(0, 4))]
+        a += [(f, 3 * k, w) for k, w in enumerate(x)]
+        b += [(f, k, w) for k, w in enumerate(y)]
+        if y:
+            want[f] = [(*op, "" if op[0] == "equal" else " ".join(x[op[1] : op[2]]), "" if op[0] == "equal" else " ".join(y[op[3] : op[4]])) for op in difflib.SequenceMatcher(a=x, b=y, autojunk=False).get_opcodes()]
+    a, b = (spark.createDataFrame(x, "file_id long, pos long, w string").repartition(3) for x in (a, b))
+    got = {}
+    for r in Q.pass_diff(a, b).orderBy("file_id", "k").collect():
+        got.setdefault(r.file_id, []).append((r.kind, r.i1, r.i2, r.j1, r.j2, r.a, r.b))
+    assert got == want
+    import numpy as np
+
+    assert Q.matching(np.zeros(20_000, np.int64), np.zeros(3_000, np.int64)) == [(0, 0, 3000)]
+
+
 def test_seams(spark):
     rows = [(1, 0, "so he said, we go".split()), (1, 1, "We GO now".split()), (1, 2, [])]
     got = [(r.idx, r.dup) for r in Q.seam_repeats(spark.createDataFrame(rows, "file_id long, idx long, words array<string>")).orderBy("idx").collect()]
