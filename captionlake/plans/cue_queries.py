@@ -223,22 +223,23 @@ def two_passes(spark, d):
     return a.withColumnRenamed("chunk", "file_id"), b.withColumnRenamed("chunk", "file_id")
 
 
-#: The longest common run, first in a and then in b of equals, then the same on both sides of it; runs are looked up by file.
+#: The longest common run, first in a and then in b of equals, then the same on both sides of it, to which the other runs are cut.
 DIFF = "WITH RECURSIVE " + PASSES.strip().removeprefix("WITH ") + """,
 xa AS (SELECT chunk AS f, w, row_number() OVER (PARTITION BY chunk ORDER BY pos) - 1 AS i FROM pa), xb AS (SELECT chunk AS f, w, row_number() OVER (PARTITION BY chunk ORDER BY pos) - 1 AS j FROM pb),
 fl AS (SELECT f, na, nb FROM (SELECT f, count(*) AS na FROM xa GROUP BY f) JOIN (SELECT f, count(*) AS nb FROM xb GROUP BY f) USING (f)),
 eq AS (SELECT f, i, i - j AS d, i - row_number() OVER (PARTITION BY f, i - j ORDER BY i) AS g FROM xa JOIN xb USING (f, w)),
 run AS (SELECT f, d, min(i) AS i0, max(i) + 1 AS i1 FROM eq GROUP BY f, d, g),
 seg AS (
-  SELECT f, 0::BIGINT AS a1, na::BIGINT AS a2, 0::BIGINT AS b1, nb::BIGINT AS b2, false AS hit FROM fl
+  SELECT f, 0::BIGINT AS a1, 0::BIGINT AS b1, d::BIGINT AS d, i0::BIGINT AS i0, i1::BIGINT AS i1, false AS hit FROM run
   UNION ALL
-  SELECT f, s.a1, s.a2, s.b1, s.b2, s.hit FROM (
-    SELECT f, unnest([{'a1': a1, 'a2': m.i, 'b1': b1, 'b2': m.i - m.d, 'hit': false}, {'a1': m.i + m.n, 'a2': a2, 'b1': m.i - m.d + m.n, 'b2': b2, 'hit': false}, {'a1': m.i, 'a2': m.i + m.n, 'b1': m.i - m.d, 'b2': m.i - m.d + m.n, 'hit': true}]) AS s FROM (
-      SELECT f, a1, a2, b1, b2, arg_max({'i': greatest(i0, a1, b1 + d), 'd': d, 'n': least(i1, a2, b2 + d) - greatest(i0, a1, b1 + d)},
-        (least(i1, a2, b2 + d) - greatest(i0, a1, b1 + d)) * 1000000000000 - greatest(i0, a1, b1 + d) * 1000000 - (greatest(i0, a1, b1 + d) - d)) AS m
-      FROM (SELECT * FROM seg WHERE NOT hit AND a1 < a2 AND b1 < b2) x JOIN run USING (f) WHERE least(i1, a2, b2 + d) > greatest(i0, a1, b1 + d) GROUP BY f, a1, a2, b1, b2))
+  SELECT f, s.a1, s.b1, d, s.i0, s.i1, s.hit FROM (
+    SELECT f, d, unnest([{'a1': a1, 'b1': b1, 'i0': i0, 'i1': least(i1, m.i, m.i - m.d + d), 'hit': false},
+      {'a1': m.i + m.n, 'b1': m.i - m.d + m.n, 'i0': greatest(i0, m.i + m.n, m.i - m.d + m.n + d), 'i1': i1, 'hit': false},
+      {'a1': m.i, 'b1': m.i - m.d, 'i0': m.i, 'i1': CASE WHEN i0 = m.i AND d = m.d THEN m.i + m.n ELSE m.i END, 'hit': true}]) AS s FROM (
+      SELECT *, first_value({'i': i0, 'd': d, 'n': i1 - i0}) OVER (PARTITION BY f, a1, b1 ORDER BY i1 - i0 DESC, i0, i0 - d) AS m FROM seg WHERE NOT hit))
+  WHERE s.i1 > s.i0
 ),
-ma AS (SELECT f, a1 AS i, b1 AS j, a2 - a1 AS n FROM seg WHERE hit UNION ALL SELECT f, na, nb, 0 FROM fl),
+ma AS (SELECT f, i0 AS i, i0 - d AS j, i1 - i0 AS n FROM seg WHERE hit UNION ALL SELECT f, na, nb, 0 FROM fl),
 ga AS (SELECT *, coalesce(lag(i + n) OVER o, 0) AS i0, coalesce(lag(j + n) OVER o, 0) AS j0 FROM ma WINDOW o AS (PARTITION BY f ORDER BY i, n DESC)),
 op AS (SELECT f, CASE WHEN i = i0 THEN 'insert' WHEN j = j0 THEN 'delete' ELSE 'replace' END AS kind, i0 AS i1, i AS i2, j0 AS j1, j AS j2 FROM ga WHERE i > i0 OR j > j0
   UNION ALL SELECT f, 'equal', min(i), max(i + n), min(j), max(j + n) FROM (SELECT *, sum((i > i0 OR j > j0)::INT) OVER (PARTITION BY f ORDER BY i, n DESC) AS g FROM ga) WHERE n > 0 GROUP BY f, g),
