@@ -49,13 +49,19 @@ def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarr
     return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :].tolist())), np.uint64, len(starts))
 
 
+def majorities(hashes: np.ndarray) -> np.ndarray:
+    """For each column of hashes the unsigned 64-bit number whose bits are set in over half of its rows."""
+    n, columns = hashes.shape
+    counts = np.zeros(64 * columns, np.int64)
+    for k in range(0, n, BLOCK):
+        part = np.ascontiguousarray(hashes[k : k + BLOCK], "<u8")
+        counts += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > n, bitorder="little").view("<u8")
+
+
 def majority(hashes: np.ndarray) -> int:
     """The unsigned 64-bit number whose bits are set in over half of the hashes."""
-    counts = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), BLOCK):
-        part = hashes[k : k + BLOCK].astype("<u8")
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return int(majorities(hashes.reshape(-1, 1))[0])
 
 
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
@@ -63,8 +69,43 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return majority(shingle_hashes(text, words, seed))
 
 
+class WordFingerprints:
+    """Fingerprints of the distinct words of a text, each counted once: an edit of a word moves few of their bits. One for each seed.
+
+    The hashes of words of up to 32 bytes are remembered, MEMORY words at most; then the memory starts anew.
+    """
+
+    MEMORY = 1 << 17
+
+    def __init__(self, seeds: tuple[int, ...]):
+        self.seeds, self.known, self.hashes = seeds, {}, np.zeros((self.MEMORY, len(seeds)), np.uint64)
+
+    def _hashed(self, words: list[bytes]) -> np.ndarray:
+        digest = xxhash.xxh64_intdigest
+        return np.array([[digest(w, s) for s in self.seeds] for w in words], np.uint64).reshape(-1, len(self.seeds))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        found = list(set((text or "").encode("utf-8", "replace").translate(LOWER).split()))
+        counts = []
+        for k in range(0, len(found), BLOCK):
+            counts.append(self._rows(found[k : k + BLOCK]))
+        return majorities(np.concatenate(counts) if counts else np.zeros((0, len(self.seeds)), np.uint64))
+
+    def _rows(self, words: list[bytes]) -> np.ndarray:
+        known = self.known
+        new = [w for w in words if len(w) <= 32 and w not in known]
+        if len(known) + len(new) > self.MEMORY:
+            known.clear()
+            new = [w for w in words if len(w) <= 32]
+        self.hashes[len(known) : len(known) + len(new)] = self._hashed(new)
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        short = [known[w] for w in words if len(w) <= 32]
+        rows = self.hashes[short]
+        return rows if len(short) == len(words) else np.concatenate((rows, self._hashed([w for w in words if len(w) > 32])))
+
+
 def word_fingerprint(text: str | None, seed: int) -> int:
-    """The fingerprint of the distinct words of a text, each counted once: an edit of a word moves few of its bits."""
+    """The fingerprint of the distinct words of one text for one seed."""
     found = set((text or "").encode("utf-8", "replace").translate(LOWER).split())
     return majority(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in found), np.uint64, len(found)))
 
@@ -127,12 +168,15 @@ def trie_pairs(values: np.ndarray, lo1, hi1, lo2, hi2, depth: int, budget, most:
         up = ones[at]
         m1, m2 = b - (up[b] - up[a]), d - (up[d] - up[c])
         own = a == c
+        below = []
         for x1, y1, x2, y2, cost in ((a, m1, c, m2, 0), (m1, b, m2, d, 0), (a, m1, m2, d, 1), (m1, b, c, m2, 1)):
             ok = (y1 > x1) & (y2 > x2) & (left >= cost) & ~((x1 == x2) & (y1 - x1 < 2))
             if cost and x1 is m1:
                 ok &= ~own  # of a node with itself, the two children meet once
             if ok.any():
-                stack.append((x1[ok], y1[ok], x2[ok], y2[ok], left[ok] - cost, at + 1))
+                below.append((x1[ok], y1[ok], x2[ok], y2[ok], left[ok] - cost))
+        if below:  # the children go on together, so that a level of small nodes is one step
+            stack.append((*map(np.concatenate, zip(*below)), at + 1))
 
 
 class Links:
@@ -388,9 +432,10 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))  # rows without doc_id sort last
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = WordFingerprints(seeds)
         for part in _parts(batches):
-            texts = [t.as_py() for t in part.column(2)]
-            fps = [pa.array(np.array([word_fingerprint(t, s) for t in texts], np.uint64).view(np.int64)) for s in seeds]
+            got = np.array([marked(t.as_py()) for t in part.column(2)], np.uint64).reshape(-1, len(seeds)).view(np.int64)
+            fps = [pa.array(np.ascontiguousarray(x)) for x in got.T]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *fps], ["key", "h", *(f"fp{k}" for k in range(len(seeds)))])
 
     schema = ", ".join(["key long", "h long", *(f"fp{k} long" for k in range(len(seeds)))])
