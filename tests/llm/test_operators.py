@@ -283,6 +283,43 @@ def test_sum_of_squares_choice():
         p.add(k, np.zeros(size, "<u4"))
 
 
+def test_packing_ends_by_the_rule():
+    """Wider levels close most of what a stream leaves open, lose no id, cut no more than laying end to end does, and behave for any window."""
+    rnd = random.Random(11)
+    sizes = [rnd.choice([1, 7, rnd.randint(1, 200), rnd.randint(1, 1023), rnd.randint(1024, 5000)]) for _ in range(3000)]
+
+    def packed(sizes, grains, **how):
+        p = packing.Packer(**how)
+        for k, size in enumerate(sizes):
+            p.add(k, np.arange(size, dtype="<u4"))
+        for grain in grains:
+            p.coarsen(grain)
+            assert p.n_open == p.levels.sum() == sum(map(len, p.open)) and not p.levels[0] and not p.levels[-1]
+        p.compact(last=True)
+        whole, fill = {}, {}
+        for doc_id, start, ids, tokens, sequence, offset in p.rows:
+            whole.setdefault(doc_id, []).append((start, ids))
+            fill.setdefault(sequence, []).append((offset, len(ids)))
+            assert tokens == sizes[doc_id]
+        for k, size in enumerate(sizes):
+            assert np.array_equal(np.concatenate([x for _, x in sorted(whole[k], key=lambda x: x[0])]), np.arange(size))
+        for parts in fill.values():
+            ends = [sum(n for _, n in sorted(parts)[:k]) for k in range(len(parts) + 1)]
+            assert ends[:-1] == [o for o, _ in sorted(parts)] and (ends[-1] == p.window or ends[-1] & ends[-1] - 1 == 0)
+        assert sorted(fill) == list(range(len(fill)))
+        return p
+
+    plain, wide = packed(sizes, ()), packed(sizes, (128,))
+    share = lambda p: p.closed["rule"] / (p.closed["rule"] + p.closed["cut"])
+    assert share(wide) > 0.95 > share(plain) and len(wide.rows) <= 1.02 * len(plain.rows)
+    packed(sizes, (8, 64, 512), max_open=30)
+    packed([s % 40 for s in sizes if s % 40], (2, 8, 16), window=16)
+    for few in ([], [1], [1024], [1023, 1], [1023] * 3, [900] * 20, [129] * 50):
+        packed(few, (128,))
+    with pytest.raises(ValueError):
+        packed([1], (100,))
+
+
 # 7 ---------------------------------------------------------------------------------------------
 
 
