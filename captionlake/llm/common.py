@@ -70,6 +70,13 @@ def may_hold(words: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (words[h >> 6].view(np.uint64) >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small slices of the batches, so that what is made of texts in Python stays small."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

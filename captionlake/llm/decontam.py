@@ -30,8 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .common import free_name, key_filter, materialize, may_hold
+from .common import free_name, key_filter, materialize, may_hold, parts
 
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -271,11 +272,15 @@ def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least:
         bad = materialize(found.select(F.col("doc_id").alias(text)).distinct(), "contaminated")
         return docs.join(bad, mark == bad[text], "left_anti")
     held = spark.sparkContext.broadcast(block)
-    docs = docs.withColumn(text, F.col("text").cast("string"))
+    given = docs.select("text").schema[0]
+    if isinstance(given.dataType, StringType):  # no text goes to Python twice
+        text = given.name
+    else:
+        docs = docs.withColumn(text, F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Items(held.value, least)
-        for batch in batches:
-            yield batch.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in batch.column(text)], pa.bool_()))
+        for part in parts(batches):
+            yield part.filter(pa.array([not known.hits(t.as_py(), threshold, least) for t in part.column(text)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema).select(*columns)

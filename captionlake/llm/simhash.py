@@ -26,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, free_name, key_filter, materialize, may_hold
+from .common import connected_components, free_name, key_filter, materialize, may_hold, parts
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Shingles whose bits are counted at once; bounds the memory that a long text takes.
 BLOCK = 1 << 16
 #: Node pairs that are split at once, and fingerprints in a block above which its subtries are dealt out further.
-PAIRS, HOT, STRIDE = 1 << 17, 20_000, 8
+PAIRS, HOT, STRIDE = 1 << 14, 20_000, 8
 
 
 def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarray:
@@ -336,7 +336,7 @@ def _entries(members: DataFrame, share: float, cells: int = 1 << 20) -> DataFram
     held = members.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in parts(batches):
             tokens, inner = [], []
             for sh in part.column(3):
                 t = np.asarray(sh.values.to_numpy())
@@ -409,13 +409,6 @@ def _stay(members: DataFrame, share: float) -> DataFrame:
     return kept if kept is not None else members.select("key", "h")
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Small slices of the batches, so that what is made of texts in Python stays small."""
-    for batch in batches:
-        for a in range(0, batch.num_rows, rows):
-            yield batch.slice(a, rows)
-
-
 def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44, 45, 46)) -> DataFrame:
     """docs with one row of each group of near-duplicates: that of the smallest doc_id (rows without one come last), then of the smallest text hash.
 
@@ -433,7 +426,7 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = WordFingerprints(seeds)
-        for part in _parts(batches):
+        for part in parts(batches):
             got = np.array([marked(t.as_py()) for t in part.column(2)], np.uint64).reshape(-1, len(seeds)).view(np.int64)
             fps = [pa.array(np.ascontiguousarray(x)) for x in got.T]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *fps], ["key", "h", *(f"fp{k}" for k in range(len(seeds)))])
@@ -454,7 +447,7 @@ def keep_one(docs: DataFrame, budget: int = 3, words: int = 5, share: float = 0.
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()  # copies within a task go once
-        for part in _parts(batches):
+        for part in parts(batches):
             hit = np.flatnonzero(may_hold(held.value, part.column(2).to_numpy())).tolist()
             number = part.column(0).to_numpy()
             new = [k for k in hit if number[k] not in sent and not sent.add(number[k])]
