@@ -20,22 +20,20 @@ def fill_times(words: DataFrame) -> DataFrame:
 
     In a run of untimed words after a word that ends at p and before one that starts at x: the first takes [p,
     max(p + 50, x)], every later one starts where its predecessor ends at first, less 50, and ends 50 later; without x each lasts 300.
-    Two sorts by file and position, forwards and backwards, serve all windows; both frames grow with the row.
+    One sort by file and position serves all windows, the next timed word among them; frames grow with the row.
     """
     w = _file()
     timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
-    d = words.withColumn("timed", timed)
-    d = d.withColumn("p", F.coalesce(F.last(F.when(F.col("timed"), F.col("end_ms")), True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    back = Window.partitionBy("file_id").orderBy(F.col("pos").desc())  # read backwards, the next timed word is the last one seen
-    d = d.withColumn("x", F.last(F.when(F.col("timed"), F.col("start_ms")), True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
-    d = d.withColumn("island", F.sum(F.col("timed").cast("int")).over(w.rowsBetween(*UP)))
-    r = F.row_number().over(Window.partitionBy("file_id", "island").orderBy("pos")) - F.when(F.col("island") > 0, 1).otherwise(0)
-    d = d.withColumn("r", r).withColumn("e1", F.greatest(F.col("p") + 50, F.col("x")))
+    d = words.withColumns({"timed": timed, "rn": F.row_number().over(w)})
+    before = lambda c: F.last(F.when(F.col("timed"), F.col(c)), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    x = F.expr("lead(if(timed, start_ms, NULL)) IGNORE NULLS OVER (PARTITION BY file_id ORDER BY pos)")
+    d = d.withColumns({"p": F.coalesce(before("end_ms"), F.lit(0)), "x": x, "r": F.col("rn") - F.coalesce(before("rn"), F.lit(0))})  # r: place in the run
+    d = d.withColumn("e1", F.greatest(F.col("p") + 50, F.col("x")))
     start = F.when(F.col("x").isNull(), F.col("p") + 300 * (F.col("r") - 1)).when(F.col("r") == 1, F.col("p")).otherwise(F.col("e1") + 50 * (F.col("r") - 2))
     end = F.when(F.col("x").isNull(), F.col("p") + 300 * F.col("r")).otherwise(F.col("e1") + 50 * (F.col("r") - 1))
     filled = d.withColumn("start_ms", F.when(F.col("timed"), F.col("start_ms")).otherwise(start).cast("long"))
     filled = filled.withColumn("end_ms", F.when(F.col("timed"), F.col("end_ms")).otherwise(end).cast("long"))
-    return filled.drop("timed", "p", "x", "island", "r", "e1")
+    return filled.drop("timed", "rn", "p", "x", "r", "e1")
 
 
 def ends_with(word: Column, signs: str) -> Column:

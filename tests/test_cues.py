@@ -98,3 +98,29 @@ def test_scored_sentences(spark):
 
 def test_empty(spark):
     assert C.build_cues(spark.createDataFrame([], WORDS)).count() == 0
+
+
+def test_words_of_files_move_once(spark):
+    """Documents are dealt out by file before they are cut into words; then neither words nor segments move or are sorted again."""
+    import re
+
+    from captionlake.plans.derive import by_file, words as derived
+
+    few, many = (by_file(spark.range(99).selectExpr("id AS doc_id", "'a' AS text"), n).rdd.getNumPartitions() for n in (1 << 20, 8))
+    assert few < many
+    plan = W.simple_cues(W.segments(W.fill_times(derived(spark, "/root/testdata/sf0.001"))))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange ", plan)) == 1 and len(re.findall(r"\bSort ", plan)) == 1
+
+
+def test_fits_lines_and_counts_by_length(spark):
+    """Texts whose length tells, and those between, against packing word by word; marks and Korean letters aren't counted twice."""
+    from pyspark.sql import functions as F
+
+    from captionlake.functions.text import char_count
+
+    rnd = random.Random(5)
+    texts = ["", " ", "a" * 42, "a" * 43, "a" * 42 + " " + "b" * 42, "a" * 43 + " b"] + [" ".join("x" * rnd.randint(0, 30) for _ in range(rnd.randint(1, 12))) for _ in range(400)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.fits_lines(F.col("t")), char_count("t")).collect()
+    assert [tuple(r) for r in got] == [(t, C.fits([len(w) for w in t.split(" ")], CUE), len(t)) for t in texts]
+    other = spark.createDataFrame([("éa\nb",), ("각",), (None,)], "t string").select(char_count("t")).collect()
+    assert [r[0] for r in other] == [3, 1, None]
