@@ -67,6 +67,16 @@ def test_pass_diff_of_many(spark):
     assert Q.matching(np.zeros(20_000, np.int64), np.zeros(3_000, np.int64)) == [(0, 0, 3000)]
 
 
+def test_invented_runs_and_speech_without_length(spark):
+    """A point of speech within a padded word ends a run, as in the SQL; one at its very edge doesn't; files without speech are one run."""
+    words = spark.createDataFrame([(f, k, f"w{k}", 1000 * k, 1000 * k + 400, 1) for f in (1, 2, 3) for k in range(25)], "file_id long, pos long, w string, start_ms long, end_ms long, score_m long")
+    speech = spark.createDataFrame([(1, 12_200, 12_200), (2, 11_700, 11_700), (2, 12_700, 12_700)], "file_id long, start_ms long, end_ms long")
+    got = {(r.file_id, r.a, r.b, r.words, r.start_ms, r.end_ms, r.excerpt) for r in Q.invented_runs(words, speech).collect()}
+    said = lambda a: " ".join(f"w{k}" for k in range(a, a + 12))
+    assert {g for g in got if g[0] == 1} == {(1, 0, 12, 12, 0, 11_400, said(0)), (1, 13, 25, 12, 13_000, 24_400, said(13))}
+    assert {g for g in got if g[0] > 1} == {(f, 0, 25, 25, 0, 24_400, said(0)) for f in (2, 3)}
+
+
 def test_seams(spark):
     rows = [(1, 0, "so he said, we go".split()), (1, 1, "We GO now".split()), (1, 2, [])]
     got = [(r.idx, r.dup) for r in Q.seam_repeats(spark.createDataFrame(rows, "file_id long, idx long, words array<string>")).orderBy("idx").collect()]
