@@ -6,7 +6,8 @@
     spark.read.format("sse").load(folder)                      # path, content, model, finish, usage, errors
     write_srt(cues, folder)                                    # (sinks) file_id, n, start_ms, end_ms, text
 
-A file is a partition and is read as a stream of lines, so that memory is that of a cue or of a reply. Writing goes by task:
+A file is read as a stream of lines, so that memory is that of a cue or of a reply; it is a partition, or where a folder has
+many files a share of them is, so that a task's start is no file's cost. Writing goes by task:
 each writes its files to a folder of its own, in the order in which the rows come, and tells the driver their names; when all
 tasks have ended the driver moves the files into place. A task that is lost or run twice leaves only files that nobody was
 told of, which go with that folder.
@@ -23,6 +24,7 @@ import posixpath
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyarrow import fs as arrow_fs
@@ -72,13 +74,17 @@ def cues(lines: Iterator[str]) -> Iterator[tuple[int | None, int | None, str]]:
         yield found
 
 
+#: Partitions that a folder's files are dealt out to at most, and files that a committing driver moves at the same time.
+MOST_PARTS, MOVERS = 512, 16
+
+
 @dataclass
-class File(InputPartition):
-    path: str
+class Share(InputPartition):
+    paths: list[str]
 
 
 class Files(DataSourceReader):
-    """One partition for each file of a folder, in the order of their names; or the one file that a path names."""
+    """One partition for each file of a folder, in the order of their names, or for as many that follow each other as MOST_PARTS asks for; or the one file that a path names."""
 
     def __init__(self, path: str, ending: str, names: list[str]):
         self.path, self.ending, self.names = path, ending, names
@@ -86,10 +92,11 @@ class Files(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         fs, path = _open(self.path)
         if fs.get_file_info(path).type == arrow_fs.FileType.File:
-            return [File(path)]
+            return [Share([path])]
         found = fs.get_file_info(arrow_fs.FileSelector(path))
         names = sorted(f.path for f in found if f.type == arrow_fs.FileType.File and f.path.lower().endswith(self.ending))
-        return [File(n) for n in names] or [File("")]
+        each = max(1, -(-len(names) // MOST_PARTS))
+        return [Share(names[k : k + each]) for k in range(0, len(names), each)] or [Share([])]
 
     def lines(self, path: str) -> Iterator[str]:
         with _open(self.path)[0].open_input_stream(path) as raw:
@@ -101,23 +108,23 @@ class Files(DataSourceReader):
 
 
 class SrtReader(Files):
-    def read(self, partition: File) -> Iterator[tuple]:
-        for n, (start, end, text) in enumerate(cues(self.lines(partition.path)) if partition.path else (), 1):
-            yield self.row({"path": partition.path, "n": n, "start_ms": start, "end_ms": end, "text": text})
+    def read(self, partition: Share) -> Iterator[tuple]:
+        for path in partition.paths:
+            for n, (start, end, text) in enumerate(cues(self.lines(path)), 1):
+                yield self.row({"path": path, "n": n, "start_ms": start, "end_ms": end, "text": text})
 
 
 class SseReader(Files):
-    def read(self, partition: File) -> Iterator[tuple]:
+    def read(self, partition: Share) -> Iterator[tuple]:
         from captionlake.streaming.ordered import NO_STREAM, Replies
 
-        if not partition.path:
-            return
-        whole = Replies(0)
-        fold = whole.begin()
-        for line in self.lines(partition.path):
-            fold = whole.add(fold, line)
-        errors = list(fold[4]) + ([NO_STREAM + fold[6]] if fold[7] is False else [])
-        yield self.row({"path": partition.path, "content": fold[0], "model": fold[1], "finish": fold[2], "usage": fold[3], "errors": errors})
+        for path in partition.paths:
+            whole = Replies(0)
+            fold = whole.begin()
+            for line in self.lines(path):
+                fold = whole.add(fold, line)
+            errors = list(fold[4]) + ([NO_STREAM + fold[6]] if fold[7] is False else [])
+            yield self.row({"path": path, "content": fold[0], "model": fold[1], "finish": fold[2], "usage": fold[3], "errors": errors})
 
 
 @dataclass
@@ -167,12 +174,12 @@ class SrtWriter(DataSourceWriter):
         if len(names) != len(set(names)):
             raise ValueError("a file's cues were in more than one task")
         if self.overwrite and fs.get_file_info(path).type == arrow_fs.FileType.Directory:
-            for old in fs.get_file_info(arrow_fs.FileSelector(path)):
-                if old.type == arrow_fs.FileType.File and old.path.endswith(".srt"):
-                    fs.delete_file(old.path)
-        for m in told:
-            for name in m.names:
-                fs.move(posixpath.join(m.folder, name), posixpath.join(path, name))
+            old = [f.path for f in fs.get_file_info(arrow_fs.FileSelector(path)) if f.type == arrow_fs.FileType.File and f.path.endswith(".srt")]
+            with ThreadPoolExecutor(MOVERS) as pool:
+                list(pool.map(fs.delete_file, old))
+        moves = ((posixpath.join(m.folder, name), posixpath.join(path, name)) for m in told for name in m.names)
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(lambda pair: fs.move(*pair), moves))
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:

@@ -36,6 +36,16 @@ def test_srt_source(spark, tmp_path):
     assert spark.read.format("srt").load(str(tmp_path / "empty")).collect() == []
 
 
+def test_many_files_share_partitions(spark, tmp_path):
+    """More files than partitions are dealt out; each row still has its own file's path and numbers."""
+    for k in range(2 * formats.MOST_PARTS + 3):
+        (tmp_path / f"{k:05d}.srt").write_text(f"1\n0 --> 1\na{k}\n\n2\n0 --> 1\nb{k}\n")
+    read = formats.register(spark).read.format("srt").load(str(tmp_path))
+    assert read.rdd.getNumPartitions() <= formats.MOST_PARTS
+    got = {(int(r.path[-9:-4]), r.n, r.text) for r in read.coalesce(4).collect()}
+    assert got == {(k, n, f"{t}{k}") for k in range(2 * formats.MOST_PARTS + 3) for n, t in ((1, "a"), (2, "b"))}
+
+
 def test_srt_writer(spark, tmp_path):
     """Files are what srt_text gives; a second run replaces the first; nothing is left aside."""
     rows = [(f, n, f"line {n}\nof {f}" if n % 3 else "é", 1000 * n - 500, 1000 * n + 400) for f in range(7) for n in range(1, 40 + f)]
