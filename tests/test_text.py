@@ -56,3 +56,24 @@ def test_decomposed(spark):
         assert both == {unicodedata.normalize("NFC", key)}, t
         if not set("한কো") & set(n):
             assert one(spark, T.normalize_key("c0"), n) == one(spark, T.normalize_key("c0"), d)
+
+
+def test_wrap_by_lengths(spark):
+    """Cuts against all cuts tried word by word, blanks in a row and commas among them; a cue of many words makes each cut once."""
+    import random
+
+    rnd = random.Random(4)
+    texts = [" ".join("x" * rnd.randint(0, 14) + rnd.choice(["", "", ","]) for _ in range(rnd.randint(1, 14))) for _ in range(300)]
+
+    def cut(t):
+        w = t.split(" ")
+        if len(t) <= 42 or len(w) < 2:
+            return t
+        both = [(" ".join(w[:k]), " ".join(w[k:]), k) for k in range(1, len(w))]
+        a, b, _ = min(both, key=lambda x: (len(x[0]) > 42 or len(x[1]) > 42, abs(len(x[0]) - len(x[1])), len(x[1]) < len(x[0]), not x[0].endswith(","), x[2]))
+        return f"{a}\n{b}"
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.wrap_two_lines("t")).collect()
+    assert [r[1] for r in got] == [cut(r[0]) for r in got]
+    plan = spark.range(1).select(T.wrap_two_lines(F.lit("a"))).columns[0]
+    assert plan.count("array_join") <= 4
