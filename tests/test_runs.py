@@ -67,6 +67,43 @@ def test_pass_diff_of_many(spark):
     assert Q.matching(np.zeros(20_000, np.int64), np.zeros(3_000, np.int64)) == [(0, 0, 3000)]
 
 
+def test_matching_by_windows(monkeypatch):
+    """Long runs by windows and short ones only between them give what the library gives; pairs laid out at once and word by word are the same runs, and an ordinary long text lays out few."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    for _ in range(300):
+        n = rnd.choice([1, 2, 5, 40, 300])
+        x = np.array([rnd.randrange(n) for _ in range(rnd.randint(1, 90))], np.int64)
+        y = np.array([rnd.randrange(n) if rnd.random() < 0.2 else w for w in x.tolist() if rnd.random() < 0.9], np.int64)
+        want = [tuple(m) for m in difflib.SequenceMatcher(a=x.tolist(), b=y.tolist(), autojunk=False).get_matching_blocks()]
+        got = []  # the library joins runs that touch
+        for i, j, n in [*Q.matching(x, y), (len(x), len(y), 0)]:
+            if n and got and got[-1][0] + got[-1][2] == i and got[-1][1] + got[-1][2] == j:
+                i, j, n = (*got[-1][:2], got.pop()[2] + n)
+            got.append((i, j, n))
+        assert got == want
+        runs = sorted(map(tuple, Q.common_runs(x, y).tolist()))
+        monkeypatch.setattr(Q, "PAIRS", -1)
+        assert sorted(map(tuple, Q.common_runs(x, y).tolist())) == runs
+        monkeypatch.undo()
+    x = np.array([rnd.randrange(300) for _ in range(20_000)], np.int64)
+    sizes = []
+    real = Q.common_runs
+    monkeypatch.setattr(Q, "common_runs", lambda a, b: sizes.append(len(r := real(a, b))) or r)
+    Q.matching(x, np.delete(x, np.arange(0, 20_000, 41)))
+    assert max(sizes) < 40_000  # of all words, over a million
+
+
+def test_bags_in_one_grouping(spark):
+    make = lambda *rows: spark.createDataFrame([(f, k, w) for f, t in rows for k, w in enumerate(t.split())], "file_id long, pos long, w string")
+    d = Q.bag_agreement(make((1, "a a b c"), (2, "x")), make((1, "a b b"), (3, "y y")))
+    assert {tuple(r) for r in d.collect()} == {(1, 2, 2, 1), (2, 0, 1, 0), (3, 0, 0, 2)}
+    assert "Join" not in d._jdf.queryExecution().executedPlan().toString()
+
+
 def test_invented_runs_and_speech_without_length(spark):
     """A point of speech within a padded word ends a run, as in the SQL; one at its very edge doesn't; files without speech are one run."""
     words = spark.createDataFrame([(f, k, f"w{k}", 1000 * k, 1000 * k + 400, 1) for f in (1, 2, 3) for k in range(25)], "file_id long, pos long, w string, start_ms long, end_ms long, score_m long")
