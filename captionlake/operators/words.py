@@ -109,12 +109,17 @@ def scored_sentences(words: DataFrame, threshold_m: int = 500) -> DataFrame:
 def assemble(words: DataFrame, spans: DataFrame) -> DataFrame:
     """Times and mean score of each word from its letters' spans (pos, start, end, score); a word without spans has none.
 
-    words: (file_id, pos, w). Returns start, end (first and last frame), score_sum, n_spans.
+    words: (file_id, pos, w). Returns start, end (first and last frame), score_sum, n_spans. Words and their spans meet in a
+    window instead of a join, so that rows which are dealt out by file stay where they are.
     """
+    found = ["start", "end", "score_sum", "n_spans"]
     g = spans.groupBy("file_id", "pos").agg(
         F.min_by("start", "k").alias("start"), F.max_by("end", "k").alias("end"), F.sum("score").alias("score_sum"), F.count(F.lit(1)).alias("n_spans")
     )
-    return words.join(g, ["file_id", "pos"], "left").withColumn("n_spans", F.coalesce("n_spans", F.lit(0)))
+    both = words.withColumn("_word", F.lit(True)).unionByName(g.withColumn("_word", F.lit(False)), allowMissingColumns=True)
+    whole, keyed = Window.partitionBy("file_id", "pos"), F.col("file_id").isNotNull() & F.col("pos").isNotNull()
+    d = both.withColumns({c: F.when(keyed, F.max(c).over(whole)) for c in found}).where("_word")
+    return d.select(*words.columns, *found[:-1], F.coalesce("n_spans", F.lit(0)).alias("n_spans"))
 
 
 def shift(words: DataFrame, chunks: DataFrame) -> DataFrame:

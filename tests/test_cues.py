@@ -124,3 +124,17 @@ def test_fits_lines_and_counts_by_length(spark):
     assert [tuple(r) for r in got] == [(t, C.fits([len(w) for w in t.split(" ")], CUE), len(t)) for t in texts]
     other = spark.createDataFrame([("éa\nb",), ("각",), (None,)], "t string").select(char_count("t")).collect()
     assert [r[0] for r in other] == [3, 1, None]
+
+
+def test_words_meet_their_spans_without_a_join(spark):
+    """Words that are dealt out by file don't move again for their spans; words without spans, twice the same place and foreign spans are as in a left join."""
+    import re
+
+    from captionlake.queries import QUERIES
+
+    plan = QUERIES["q_assemble_words"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == {"doc_id"} and len(re.findall("Exchange hash", plan)) == len(re.findall("REPARTITION_BY_NUM", plan))
+    w = spark.createDataFrame([(1, 0, "ab"), (1, 1, "c"), (1, 1, "d"), (2, 0, None), (None, 0, "e")], "file_id long, pos long, w string")
+    s = spark.createDataFrame([(1, 0, 2, 5, 6, 7), (1, 0, 1, 9, 4, 2), (1, 1, 1, 3, 4, None), (2, 0, 1, 8, 9, 1), (3, 0, 1, 1, 1, 1), (None, 0, 1, 1, 1, 1)], "file_id long, pos long, k long, start long, end long, score long")
+    got = sorted(map(tuple, W.assemble(w, s).collect()), key=str)
+    assert got == sorted([(1, 0, "ab", 9, 6, 9, 2), (1, 1, "c", 3, 4, None, 1), (1, 1, "d", 3, 4, None, 1), (2, 0, None, 8, 9, 1, 1), (None, 0, "e", None, None, None, 0)], key=str)
