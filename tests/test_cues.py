@@ -126,6 +126,34 @@ def test_fits_lines_and_counts_by_length(spark):
     assert [r[0] for r in other] == [3, 1, None]
 
 
+def test_folds_hold_no_file(spark):
+    """Files go through a fold one behind the other, in batches that end anywhere; the display fold reads one cue ahead."""
+    from itertools import count
+
+    endless = ({"text": f"w{k}", "lengths": [2], "start": 5000 * k, "end": 5000 * k + 2000} for k in count())
+    first = next(iter(C.Display(CUE).run(endless)))
+    assert (first["text"], first["end"]) == ("w0", 2000) and next(endless)["start"] < 20_000
+    rnd = random.Random(9)
+    rows, t = [], 0
+    for f in range(12):
+        for k in range(rnd.randint(1, 40)):
+            t += rnd.choice((50, 700, 700, 2500))
+            rows.append((f, k, "x" * rnd.randint(1, 14) + rnd.choice(("", "", "", ",", ".")), t, t + 400, 1))
+            t += 400
+    given = spark.createDataFrame(rows, WORDS).repartition(3)
+    folds = [lambda w: C.balanced_groups(w), lambda w: C.min_display(C.balanced_groups(w)), lambda w: C.build_cues(w)]
+    one = [[r for f in range(12) for r in sorted(map(tuple, fold(given.where(f"file_id = {f}")).collect()))] for fold in folds]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert [sorted(map(tuple, fold(given).collect())) for fold in folds] == one
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for f in range(12):
+        mine = [r for r in rows if r[0] == f]
+        assert " ".join(r[2] for r in one[0] if r[0] == f) == " ".join(r[2] for r in mine)
+    assert not any("InPandas" in fold(given)._jdf.queryExecution().executedPlan().toString() for fold in folds)
+
+
 def test_words_meet_their_spans_without_a_join(spark):
     """Words that are dealt out by file don't move again for their spans; words without spans, twice the same place and foreign spans are as in a left join."""
     import re
