@@ -24,7 +24,7 @@ def fill_times(words: DataFrame) -> DataFrame:
     """
     w = _file()
     timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
-    d = words.withColumns({"timed": timed, "rn": F.row_number().over(w)})
+    d = words.withColumn("rn", F.row_number().over(w)).withColumn("timed", timed)
     before = lambda c: F.last(F.when(F.col("timed"), F.col(c)), True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     x = F.expr("lead(if(timed, start_ms, NULL)) IGNORE NULLS OVER (PARTITION BY file_id ORDER BY pos)")
     d = d.withColumns({"p": F.coalesce(before("end_ms"), F.lit(0)), "x": x, "r": F.col("rn") - F.coalesce(before("rn"), F.lit(0))})  # r: place in the run
