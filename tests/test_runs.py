@@ -97,6 +97,48 @@ def test_matching_by_windows(monkeypatch):
     assert max(sizes) < 40_000  # of all words, over a million
 
 
+def test_matching_of_files(monkeypatch):
+    """Many files at once, some of them empty, give what the library gives for each, however they are grouped and halved."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(5)
+    for files, at_once, pairs in ((0, 200_000, 1_000_000), (1, 100, 5), (40, 100, 300), (40, 200_000, 5), (40, 200_000, 1_000_000)):
+        monkeypatch.setattr(Q, "AT_ONCE", at_once)
+        monkeypatch.setattr(Q, "PAIRS", pairs)
+        said = []
+        for _ in range(files):
+            n = rnd.choice([1, 2, 5, 40, 300])
+            x = [rnd.randrange(n) for _ in range(rnd.choice([0, 1, 2, 10, 90, 200]))]
+            said.append((x, [rnd.randrange(n) if rnd.random() < 0.2 else w for w in x if rnd.random() < 0.9] + [rnd.randrange(n) for _ in range(rnd.choice([0, 0, 3]))]))
+        a, b = (np.array([w for f in said for w in f[k]], np.int64) for k in (0, 1))
+        starts = [np.append(0, np.cumsum([len(f[k]) for f in said])).astype(np.int64) for k in (0, 1)]
+        rows, edges = Q.matching_files(a, b, *starts)
+        assert [list(map(tuple, rows[k:m].tolist())) for k, m in zip(edges, edges[1:])] == [[tuple(m) for m in difflib.SequenceMatcher(a=x, b=y, autojunk=False).get_matching_blocks()] for x, y in said]
+
+
+def test_pass_lists(spark, tmp_path):
+    """The words of both passes as lists are those of the rows, for texts of one id too; the differences move the texts once, join nothing and run Python once."""
+    from captionlake.plans import derive as D
+    from captionlake.plans.cue_queries import Q as queries
+
+    texts = [(k, " ".join(f"W{k * j % 31}é" for j in range(k * 7))) for k in range(12)] + [(3, "Ab cd\n ef"), (5, None), (20, None), (21, " \n"), (13, "alone")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = [{}, {}]
+    for side, rows in zip(want, D.passes(spark, str(tmp_path))):
+        for r in rows.orderBy("chunk", "pos", "w").collect():
+            side.setdefault(r.chunk, []).append((r.pos, r.w))
+    got = {r.file_id: (r.wa, r.wb) for r in D.pass_lists(spark, str(tmp_path)).collect()}
+    assert got[20] == got[21] == ([], [])
+    for k, side in enumerate(want):
+        assert {f: sorted(x[k]) for f, x in got.items() if x[k]} == {f: sorted(w for _, w in rows) for f, rows in side.items()}
+        assert all(got[f][k] == [w for _, w in rows] for f, rows in side.items() if f != 3)
+    d = queries["q_pass_diff"](spark, str(tmp_path))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and (plan.count("Exchange"), plan.count("ArrowEvalPython")) == (1, 1)
+
+
 def test_bags_in_one_grouping(spark):
     make = lambda *rows: spark.createDataFrame([(f, k, w) for f, t in rows for k, w in enumerate(t.split())], "file_id long, pos long, w string")
     d = Q.bag_agreement(make((1, "a a b c"), (2, "x")), make((1, "a b b"), (3, "y y")))
