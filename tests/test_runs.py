@@ -265,6 +265,20 @@ def test_diff_page(spark):
     assert [(r.file_id, r.major, r.nav) for r in nav] == [(1, 1, '<a href="#d1">1</a>')]
 
 
+def test_diff_numbers_without_a_window(spark, tmp_path):
+    """Long differences that are numbered with the blocks are numbered as by a window, and q_diff_html moves the texts once."""
+    from captionlake.plans.cue_queries import Q as queries
+
+    words = lambda *files: spark.createDataFrame([(f, k, w) for f, t in enumerate(files) for k, w in enumerate(t.split())], "file_id long, pos long, w string")
+    a, b = words("a b c d e f g h i j k l", "m n o p q r s t"), words("1 2 3 4 b c x y z w v g h 5 j 6 7 8 9", "m n q r s t")
+    rows = lambda d: sorted((r.file_id, r.k, r.html) for r in d.collect())
+    got = rows(Q.diff_rows_html(Q.list_diff(Q.pass_lists(a, b), major=4)))
+    assert got == rows(Q.diff_rows_html(Q.pass_diff(a, b))) and sum("badge" in x[2] for x in got) == 3
+    spark.createDataFrame([(1, "a b c d")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries["q_diff_html"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange") == 1
+
+
 def test_traces(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"chunks": [{"idx": 1, "outcome": "merged", "tries": [{"n": 1, "outcome": "ok"}]}]}))
     (tmp_path / "b.json").write_text('{"chunks": [')
