@@ -279,6 +279,23 @@ def test_diff_numbers_without_a_window(spark, tmp_path):
     assert "Window" not in plan and plan.count("Exchange") == 1
 
 
+def test_diff_page_of_all_files(spark, tmp_path):
+    """q_diff_html shows the words that match, and files that the second pass has no words of; its SQL gives the same."""
+    import duckdb
+
+    from captionlake.plans import cue_queries as C
+
+    # Of file 41 the second pass lacks place 0, its only word; file 40 is the same in both.
+    spark.createDataFrame([(41, "Gone<"), (40, "a b & d e f"), (7, " "), (8, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.file_id, r.k, r.html) for r in C.Q["q_diff_html"](spark, str(tmp_path)).collect())
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(c.sql("SELECT file_id, k, html FROM (" + C.SQL["q_diff_html"] + ")").fetchall())
+    assert got[-1] == (41, 0, '<tr class="minor"><td class="a">gone&lt;</td><td class="b"><i>(none)</i></td></tr>')
+    assert got[:-1] == [(40, 0, '<tr class="eq"><td class="a">a b &amp; d e f</td><td class="b">a b &amp; d e f</td></tr>')]
+    assert {r.file_id for r in C.Q["q_pass_diff"](spark, str(tmp_path)).collect()} == {40}
+
+
 def test_traces(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"chunks": [{"idx": 1, "outcome": "merged", "tries": [{"n": 1, "outcome": "ok"}]}]}))
     (tmp_path / "b.json").write_text('{"chunks": [')
