@@ -1,6 +1,8 @@
 import difflib
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from captionlake.operators import manifest as M
@@ -156,6 +158,29 @@ def test_invented_runs_and_speech_without_length(spark):
     assert {g for g in got if g[0] > 1} == {(f, 0, 25, 25, 0, 24_400, said(0)) for f in (2, 3)}
 
 
+def test_edge_omissions(spark):
+    """Speech before the first timed word and behind the last; of words without times it is all before; times below zero don't count."""
+    rows = [(1, 0, None, None), (1, 1, 6000, 7000), (1, 2, 8000, 9000), (1, 3, None, None), (2, 0, None, None), (3, 0, 0, 100), (4, 0, 500, 600)]
+    words = spark.createDataFrame(rows, "file_id long, pos long, start_ms long, end_ms long")
+    speech = spark.createDataFrame([(1, -3000, 2000), (1, 3000, 6950), (1, 8500, 11_500), (1, 12_000, 12_500), (2, 0, 1000), (2, 4000, 7000), (3, 0, 2099), (5, 0, 9000)], "file_id long, start_ms long, end_ms long")
+    got = {tuple(r) for r in Q.edge_omissions(words, speech).collect()}
+    assert got == {(1, "before", 5000, "omission"), (1, "behind", 3000, "review"), (2, "before", 4000, "review")}
+
+
+def test_all_totals_of_a_check(spark):
+    """q_qc_summary has every total that the queries beside it list."""
+    from captionlake import queries
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test data")
+    rows = lambda name: queries.QUERIES[name](spark, d)
+    r = rows("q_qc_summary").first()
+    assert r.omissions + r.reviews == rows("q_qc_omission").count() and r.hallucinations == rows("q_qc_hallucination").count()
+    assert r.seam_repeats == rows("q_seam_dup").where("dup > 0").count() and r.dropped == rows("q_disposition").where("NOT included").count() > 0
+    assert r.edge_omissions + r.edge_reviews > 0
+
+
 def test_seams(spark):
     rows = [(1, 0, "so he said, we go".split()), (1, 1, "We GO now".split()), (1, 2, [])]
     got = [(r.idx, r.dup) for r in Q.seam_repeats(spark.createDataFrame(rows, "file_id long, idx long, words array<string>")).orderBy("idx").collect()]
